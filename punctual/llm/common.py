@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,7 +76,7 @@ def chunks(batches: Iterator[pa.RecordBatch], name: str = "text", limit: int = C
     """Cut or pass on batches so that each holds about ``limit`` bytes of text at most."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(name))
-        sizes = np.array([len(x) if x is not None else 0 for x in column.cast(pa.binary() if column.type == pa.string() else pa.large_binary())], dtype=np.int64) if column.nbytes > limit else np.zeros(len(batch), np.int64)
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         block = np.cumsum(sizes) // limit
         edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(batch)]
         for a, b in zip(edges, edges[1:], strict=False):

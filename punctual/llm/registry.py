@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import minhash, substring
+from punctual.llm import langid, minhash, substring
 from punctual.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,9 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))

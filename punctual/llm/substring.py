@@ -56,7 +56,7 @@ def _places(docs: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
     order = np.argsort(docs, kind="stable")
     docs, places = docs[order], places[order].astype(np.int32)
     at, _ = spans_by(docs)
-    blobs = [places[a:b].tobytes() for a, b in zip(at.tolist(), [*at[1:].tolist(), len(docs)], strict=True)]
+    blobs = [places[a:b].tobytes() for a, b in zip(at.tolist(), [*at[1:].tolist(), len(docs)], strict=False)]
     return pa.RecordBatch.from_arrays([pa.array(docs[at]), pa.array(blobs, pa.binary())], names=["doc_id", "places"])
 
 
