@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker holds at a time. One longer text is a chunk of its own.
 CHUNK_BYTES = 8 << 20
-#: Rows up to which an id table may be broadcast (16 bytes a row).
-BROADCAST_ROWS = 1_000_000
+#: Rows, and bytes, up to which a table may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
 U64 = np.uint64
 
@@ -61,9 +61,9 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Mark a table of checked size for broadcasting; beyond the bound, Spark joins by shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def small(df: DataFrame, rows: int, size: int | None = None) -> DataFrame:
+    """Mark a table of checked size (16 bytes a row, if not told) for broadcasting; beyond the bound, Spark joins by shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and (16 * rows if size is None else size) <= BROADCAST_BYTES else df
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:

@@ -51,13 +51,35 @@ def _rows(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, known: np.ndar
     return pa.RecordBatch.from_arrays([pa.array(number, pa.int32()), *(pa.array(blobs[c], pa.binary()) for c in ("h", "d", "p", "known"))], names=["bucket", "h", "d", "p", "known"])
 
 
-def _places(docs: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-    """One row for each document with its places."""
-    order = np.argsort(docs, kind="stable")
-    docs, places = docs[order], places[order].astype(np.int32)
+def _marks(docs: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Settled places, dealt out by document."""
+    return _settled(docs, places.astype(np.int64), buckets)
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], before: int, after: int) -> Iterator[pa.RecordBatch]:
+    """One row for each document: the union of the stretches [place - before, place + after), as pairs of int32."""
+    _, docs, places, _ = _gathered(batches)
+    if not len(docs):
+        return
+    order = np.lexsort((places, docs))
+    docs, places = docs[order], places[order].astype(np.int64)
+    lo, hi = np.maximum(places - before, 0), places + after
+    new = np.r_[True, (docs[1:] != docs[:-1]) | (lo[1:] > hi[:-1])]
+    first = np.flatnonzero(new)
+    last = np.r_[first[1:], len(docs)] - 1
+    pairs, docs = np.stack([lo[first], hi[last]], axis=1).astype(np.int32), docs[first]
     at, _ = spans_by(docs)
-    blobs = [places[a:b].tobytes() for a, b in zip(at.tolist(), [*at[1:].tolist(), len(docs)], strict=False)]
-    return pa.RecordBatch.from_arrays([pa.array(docs[at]), pa.array(blobs, pa.binary())], names=["doc_id", "places"])
+    blobs = [pairs[a:b].tobytes() for a, b in zip(at.tolist(), [*at[1:].tolist(), len(docs)], strict=True)]
+    yield pa.RecordBatch.from_arrays([pa.array(docs[at]), pa.array(blobs, pa.binary())], names=["doc_id", "places"])
+
+
+def _edges(blob: bytes | None, n: int) -> np.ndarray:
+    """+1 where a stretch starts and -1 where it ends, within a text of n words."""
+    pairs = np.minimum(np.frombuffer(blob or b"", np.int32).reshape(-1, 2), n)
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, pairs[:, 0], 1)
+    np.add.at(edge, pairs[:, 1], -1)
+    return edge
 
 
 #: An entry to judge; one that stands for a hash settled in its chunk; a place settled already.
@@ -89,7 +111,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> It
         yield _rows(np.r_[keys[alone], keys[told]], np.r_[docs[alone], docs[told]], np.r_[places[alone], places[told]], np.repeat(np.array([ASK, TELL], np.int8), [int(alone.sum()), len(told)]), buckets)
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shared(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Of the dealt anchors: the places of those that two documents hold."""
     keys, docs, places, known = _gathered(batches)
     if not len(keys):
@@ -104,7 +126,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = (docs[run] != docs[last]) | (np.maximum.reduceat(known, run) == TELL)
         keep = common[of] & (known == ASK)
         docs, places = docs[keep], places[keep]
-    yield _places(np.r_[docs, sure_docs], np.r_[places, sure_places])
+    yield _marks(np.r_[docs, sure_docs], np.r_[places, sure_places], buckets)
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
@@ -117,19 +139,15 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Hashes of the windows that hold a shared anchor; beaten within the chunk, a window needs no judge."""
-    width = window - PERIOD + 1
     for batch in chunks(batches):
         ids = batch.column(0).to_numpy()
         h, counts = word_hashes(texts_of(batch), lower=False)
         first = np.cumsum(counts) - counts
-        near = np.zeros(len(h) + 1, np.int64)
-        for i, blobs in enumerate(batch.column(batch.schema.get_field_index("places")).to_pylist()):
-            anchors = np.frombuffer(b"".join(blobs), np.int32).astype(np.int64)
-            np.add.at(near, first[i] + np.maximum(anchors - (window - width), 0), 1)
-            np.add.at(near, first[i] + anchors + 1, -1)
+        edges = [_edges(blob, n)[:-1] for blob, n in zip(batch.column(batch.schema.get_field_index("places")).to_pylist(), counts.tolist(), strict=True)]
+        near = np.concatenate([np.cumsum(e) > 0 for e in edges])
         doc = np.repeat(np.arange(len(counts)), counts)
         at = np.arange(len(h)) - first[doc]
-        starts = np.flatnonzero((np.cumsum(near)[:-1] > 0) & (at + window <= counts[doc]))
+        starts = np.flatnonzero(near & (at + window <= counts[doc]))
         if not len(starts):
             continue
         keys, docs, places = _window_hashes(h, starts, window), ids[doc[starts]], at[starts]
@@ -147,7 +165,7 @@ def _settled(docs: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBat
     return _rows(mix(docs.view(U64)), docs, places, np.full(len(docs), YES, np.int8), buckets)
 
 
-def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _judged(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """The places of windows that also start in a document with a smaller id."""
     keys, docs, places, known = _gathered(batches)
     if not len(keys):
@@ -159,24 +177,20 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, docs, places = keys[order], docs[order], places[order]
     run, of = spans_by(keys)
     beaten = docs > docs[run][of] if len(keys) else np.zeros(0, bool)
-    yield _places(np.r_[docs[beaten], sure_docs], np.r_[places[beaten], sure_places])
+    yield _marks(np.r_[docs[beaten], sure_docs], np.r_[places[beaten], sure_places], buckets)
 
 
-def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words that stay, their digest and what went."""
     names = ["row", "n_words", "n_removed", "kept_sha256", "kept_text"]
     for batch in chunks(batches):
         rows = []
-        for text, blobs in zip(texts_of(batch), batch.column(batch.schema.get_field_index("places")).to_pylist(), strict=True):
-            words, n = text.split(), 0
+        for text, blob in zip(texts_of(batch), batch.column(batch.schema.get_field_index("places")).to_pylist(), strict=True):
+            words = text.split()
             n = len(words)
-            if blobs:
-                starts = np.frombuffer(b"".join(blobs), np.int32)
-                starts = starts[starts + window <= n]
-                edge = np.zeros(n + 1, np.int64)
-                np.add.at(edge, starts, 1)
-                np.add.at(edge, starts + window, -1)
-                words = [w for w, gone in zip(words, (np.cumsum(edge)[:-1] > 0).tolist(), strict=True) if not gone]
+            if blob:
+                gone = np.cumsum(_edges(blob, n)[:-1]) > 0
+                words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
             kept = b" ".join(words)
             rows.append((n, n - len(words), hashlib.sha256(kept).hexdigest(), kept))
         columns = list(zip(*rows, strict=True))
@@ -184,7 +198,7 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
 
 
 def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, places): starts of the windows to remove, packed as int32, for each document that has any."""
+    """(doc_id, places): the stretches of words to remove, as pairs of int32, for each document that has any."""
     if window < PERIOD:
         raise ValueError(f"windows of fewer than {PERIOD} words have no aligned anchor")
     spark = docs.sparkSession
@@ -192,13 +206,21 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     tasks = shuffle_partitions(spark)
     buckets = 4 * tasks
+    width = window - PERIOD + 1
+
+    def stretches(packed: DataFrame, before: int, after: int) -> DataFrame:
+        return written(packed.repartition(tasks, "bucket").mapInArrow(lambda it: _stretches(it, before, after), PLACES))
+
     dealt = docs.mapInArrow(lambda it: _anchors(it, window, buckets), PACKED).repartition(tasks, "bucket")
-    shared = dealt.mapInArrow(_shared, PLACES).groupBy("doc_id").agg(F.collect_list("places").alias("places"))
-    shared = written(shared)
-    ids = shared.select("doc_id")
-    held = docs.join(small(ids, ids.count()), "doc_id", "left_semi").join(shared, "doc_id")
+    shared = stretches(dealt.mapInArrow(lambda it: _shared(it, buckets), PACKED), window - width, 1)
+    held = docs.join(small(shared, *_extent(shared)), "doc_id")
     windows = held.select("doc_id", "text", "places").mapInArrow(lambda it: _windows(it, window, buckets), PACKED).repartition(tasks, "bucket")
-    return written(windows.mapInArrow(_judged, PLACES).groupBy("doc_id").agg(F.collect_list("places").alias("places")))
+    return stretches(windows.mapInArrow(lambda it: _judged(it, buckets), PACKED), 0, window)
+
+
+def _extent(places: DataFrame) -> tuple[int, int]:
+    """Rows and bytes."""
+    return places.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("places") + 32), F.lit(0))).first()
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -213,7 +235,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Other columns are ignored.
     """
     places = repeated_places(docs, window)
-    joined = docs.select("doc_id", "text").join(small(places, places.count()), "doc_id", "left")
-    shape = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    joined = docs.select("doc_id", "text").join(small(places, *_extent(places)), "doc_id", "left")
+    shape = "row long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     renamed = joined.select(F.col("doc_id").alias("row"), "text", "places")
-    return renamed.mapInArrow(lambda it: _cut(it, window), shape.replace("doc_id", "row")).withColumnRenamed("row", "doc_id")
+    return renamed.mapInArrow(lambda it: _cut(it), shape).withColumnRenamed("row", "doc_id")

@@ -47,7 +47,7 @@ def test_recall_against_brute_force(spark, monkeypatch):
 
 def test_copies_ties_and_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(ann, "FAN", 7)
-    same, nan = [1.0, 2, 3, 4, 5, 6, 7, 8], float("nan")
+    same, nan = [float(x) for x in range(1, 9)], float("nan")
     rows = vectors(60) + [(100 + i, same, 0.0, "") for i in range(80)] + [(110, same, 1.0, "again")]
     rows += [(500, None, 0.0, ""), (510, [0.0] * 8, 0.0, ""), (520, [nan] * 8, 0.0, ""), (530, [None] * 8, 0.0, ""), (540, [1.0], 0.0, ""), (550, [], 0.0, ""), (None, same, 0.0, "")]
     got, want = found(spark, rows, 10), brute(rows, 10)

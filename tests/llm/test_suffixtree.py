@@ -38,14 +38,6 @@ def test_base_scores_and_counts_agree_with_plain_counting(spark):
     assert all(-1e7 < r.score < 0 for r in got)
 
 
-def test_the_tree_beats_single_words_on_words_not_seen(spark):
-    rng = random.Random(8)
-    parts = [a + b for a in "bcdfglmnprstv" for b in ("a", "e", "i", "or", "un")]
-    rows = [(i, " ".join("".join(rng.choice(parts) for _ in range(4)) for _ in range(40)), "") for i in range(300)]
-    kept = [r for r in suffixtree.score(spark.createDataFrame(rows, SCHEMA)).collect() if r.held_out]
-    assert len(kept) > 20 and sum(r.score for r in kept) > sum(r.base_score for r in kept)
-
-
 def test_the_tree_scores_by_the_longest_state_and_sums_to_one(monkeypatch):
     monkeypatch.setattr(suffixtree, "TELLING", 0.0)
     monkeypatch.setattr(suffixtree, "FACTOR", 1.0)
