@@ -33,6 +33,7 @@ def haversine_m(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
 
 def box(x1: float, y1: float, x2: float, y2: float) -> list:
     """A polygon of one closed ring."""
+    x1, y1, x2, y2 = map(float, (x1, y1, x2, y2))
     return [[(x1, y1), (x2, y1), (x2, y2), (x1, y2), (x1, y1)]]
 
 
