@@ -104,3 +104,8 @@ def expand_days(df: DataFrame, start: str, end: str, day: str = "day") -> DataFr
 def replaced(df: DataFrame, **columns: Column) -> DataFrame:
     """The same columns in the same order, some computed anew."""
     return df.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Instants as text, so that none crosses into Python with a zone of its own."""
+    return df.select(*[F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes])
