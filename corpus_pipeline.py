@@ -18,33 +18,34 @@ LEAST_SURE = 0.3
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language: no text, no letter or no language likelier than LEAST_SURE, and they go."""
-    known = written(langid.identify(docs, langid.fit(docs)).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SURE)).select("doc_id").distinct())
-    return docs.join(small(known, known.count()), "doc_id", "left_semi")
+    return langid.accepted(docs, langid.fit(docs), LEAST_SURE)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    kept = written(minhash.near_duplicates(docs).where("kept").select("doc_id").distinct())
-    return docs.join(small(kept, kept.count()), "doc_id", "left_semi")
+    """One document of each group of near copies, the one with the smallest id.
 
+    Of rows that repeat a doc_id the smallest stays, by text and then by the
+    other columns in order. Rows without doc_id can't be told apart and stay.
+    """
+    kept = written(minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id"))
+    ids = kept.distinct()
+    rows, single = kept.count(), ids.count()
+    out = docs.join(small(ids, single), "doc_id", "left_semi").select(*docs.columns)
+    if rows > single:
+        rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+        least = out.groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("in_0"))
+        out = least.select(*[F.col("doc_id") if c == "doc_id" else F.col("in_0")[c].alias(c) for c in docs.columns])
+    return out.unionByName(docs.where("doc_id is null"))
 
-def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that a document with a smaller id holds; texts with nothing left go.
 
-    A text that loses nothing stays as it is; of others the words that stay are
-    joined by one space.
-    """
-    cut = written(substring.without_repeats(docs).where("n_removed > 0").select("doc_id", "kept_text"))
-    out = docs.join(cut.dropDuplicates(["doc_id"]), "doc_id", "left").where("kept_text is null or kept_text <> ''")
-    text = F.coalesce("kept_text", "text")
-    new = {"text": text, "n_chars": F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text").cast("long"))}
-    return out.select(*[new[c].alias(c) if c in new else c for c in docs.columns])
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that a document with a smaller id holds; texts with nothing left go."""
+    return substring.cut_documents(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    found = written(decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
-    return docs.join(small(found, found.count()), "doc_id", "left_anti")
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

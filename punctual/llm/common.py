@@ -49,6 +49,8 @@ def scratch(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="punctual-")
         sc.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"

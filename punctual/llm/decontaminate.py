@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,23 +134,37 @@ def _matches(index: Index, h: np.ndarray, hits: dict[int, list[tuple[int, int]]]
         yield item, start, size, similarity
 
 
+def _found(texts: list[bytes], index: Index) -> Iterator[tuple[int, int, int, int, float]]:
+    """(text number, item, start, words, similarity) of all that is found in a chunk."""
+    h, counts = word_hashes(texts, lower=True)
+    ends = np.cumsum(counts)
+    hits: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+    for width, (maybe, keys, first, holder) in index.by_width.items():
+        grams = _grams(h, width)
+        at = np.flatnonzero(maybe[(grams & U64(_MASK - 1)).astype(np.int64)])
+        spot = np.minimum(np.searchsorted(keys, grams[at]), len(keys) - 1)
+        good = keys[spot] == grams[at]
+        at, spot = at[good], spot[good]
+        doc = np.searchsorted(ends, at, side="right")
+        for place, d, s in zip(at.tolist(), doc.tolist(), spot.tolist(), strict=True):
+            if place + width <= ends[d]:
+                hits[d][width] += [(place - int(ends[d] - counts[d]), k) for k in holder[first[s] : first[s + 1]].tolist()]
+    for d, own in hits.items():
+        for k, *rest in _matches(index, h[ends[d] - counts[d] : ends[d]], own):
+            yield d, int(index.ids[k]), *rest
+
+
+def _clean(batches: Iterator[pa.RecordBatch], index: Index, name: str) -> Iterator[pa.RecordBatch]:
+    """The rows in which nothing is found."""
+    for batch in chunks(batches, name):
+        dirty = {d for d, *_ in _found(texts_of(batch, name), index)}
+        yield batch.filter(pa.array([i not in dirty for i in range(len(batch))], pa.bool_())) if dirty else batch
+
+
 def _search(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches):
         ids = batch.column(0)
-        h, counts = word_hashes(texts_of(batch), lower=True)
-        ends = np.cumsum(counts)
-        hits: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
-        for width, (maybe, keys, first, holder) in index.by_width.items():
-            grams = _grams(h, width)
-            at = np.flatnonzero(maybe[(grams & U64(_MASK - 1)).astype(np.int64)])
-            spot = np.minimum(np.searchsorted(keys, grams[at]), len(keys) - 1)
-            good = keys[spot] == grams[at]
-            at, spot = at[good], spot[good]
-            doc = np.searchsorted(ends, at, side="right")
-            for place, d, s in zip(at.tolist(), doc.tolist(), spot.tolist(), strict=True):
-                if place + width <= ends[d]:
-                    hits[d][width] += [(place - int(ends[d] - counts[d]), k) for k in holder[first[s] : first[s + 1]].tolist()]
-        rows = [(ids[d].as_py(), int(index.ids[k]), *rest) for d, own in hits.items() for k, *rest in _matches(index, h[ends[d] - counts[d] : ends[d]], own)]
+        rows = [(ids[d].as_py(), *rest) for d, *rest in _found(texts_of(batch), index)]
         if rows:
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["doc_id", "item_id", "start", "n_words", "similarity"])
@@ -163,19 +178,35 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     nothing and are found nowhere. Rows that repeat a doc_id or an item_id with
     the same text give the same rows once. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     shape = "doc_id long, item_id long, start long, n_words long, similarity double"
+    found = docs.sparkSession.createDataFrame([], shape)
+    portions = _portions(items)
+    for shared in portions:
+        part = docs.select("doc_id", "text").mapInArrow(lambda it, b=shared: _search(it, b.value), shape)
+        found = found.union(part if len(portions) == 1 else written(part))
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words")).alias("m")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("m.back")).alias("start"), "m.n_words", "m.similarity")
+
+
+def _portions(items: DataFrame) -> list[Broadcast]:
+    """Indexes of the items, each of bounded size."""
     items = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    portions = max(1, -(-n // PORTION_ITEMS), -(-size // PORTION_BYTES))
-    found = spark.createDataFrame([], shape)
-    for k in range(portions):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(portions)) == k).collect()
+    number, out = max(1, -(-n // PORTION_ITEMS), -(-size // PORTION_BYTES)), []
+    for k in range(number):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(number)) == k).collect()
         index = index_of(sorted((r.item_id, r.text.encode()) for r in own))
-        if index is None:
-            continue
-        shared = spark.sparkContext.broadcast(index)
-        part = docs.select("doc_id", "text").mapInArrow(lambda it, b=shared: _search(it, b.value), shape)
-        found = found.union(part if portions == 1 else written(part))
-    return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words")).alias("m")).select("doc_id", "item_id", (-F.col("m.back")).alias("start"), "m.n_words", "m.similarity")
+        if index is not None:
+            out.append(items.sparkSession.sparkContext.broadcast(index))
+    return out
+
+
+def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no item, as ``contaminated`` finds them; all columns are carried along."""
+    bounded_batches(docs.sparkSession)
+    out = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)])
+    shape, name = out.schema, f"in_{docs.columns.index('text')}"
+    for shared in _portions(items):
+        out = out.mapInArrow(lambda it, b=shared: _clean(it, b.value, name), shape)
+    return out.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctual.llm.common import bounded_batches, chunks, remainder, texts_of, written
 
@@ -156,13 +157,14 @@ def fit(docs: DataFrame, modulus: int = 4, held: int = 2) -> Network | None:
     return train(texts, langs) if texts else None
 
 
-def _predict(batches: Iterator[pa.RecordBatch], net: Network | None) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], net: Network | None, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """The rows without text and mark, with the prediction; a text under another name stays."""
     fused = _fused(net.tables) if net else None
-    for batch in chunks(batches):
+    for batch in chunks(batches, name):
         lettered = batch.column(batch.schema.get_field_index("lettered")).to_numpy(zero_copy_only=False).astype(bool)
         pred, score = np.full(len(batch), "und", object), np.zeros(len(batch))
         if net and lettered.any():
-            p = probabilities(net, [t for t, x in zip(texts_of(batch), lettered, strict=True) if x], fused)
+            p = probabilities(net, [t for t, x in zip(texts_of(batch, name), lettered, strict=True) if x], fused)
             pred[lettered] = np.array(net.langs, object)[p.argmax(axis=1)]
             score[lettered] = p.max(axis=1)
         rest = [batch.column(i) for i, name in enumerate(batch.schema.names) if name not in ("text", "lettered")]
@@ -179,3 +181,14 @@ def identify(docs: DataFrame, net: Network | None, modulus: int = 4, held: int =
     bounded_batches(docs.sparkSession)
     rows = docs.select("doc_id", (remainder(F.col("doc_id"), modulus) == held).alias("held_out"), "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
     return rows.mapInArrow(lambda it: _predict(it, net), "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
+    """The rows of ``docs`` that have a language of at least that probability; all columns are carried along."""
+    bounded_batches(docs.sparkSession)
+    lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    rows = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)], lettered.alias("lettered")).where("lettered")
+    shape = T.StructType([*[T.StructField(f"in_{i}", f.dataType) for i, f in enumerate(docs.schema.fields)], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    name = f"in_{docs.columns.index('text')}"
+    out = rows.mapInArrow(lambda it: _predict(it, net, name), shape).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return out.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])

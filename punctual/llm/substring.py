@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctual.llm.common import U64, bounded_batches, chunks, mix, odd_numbers, pack, shuffle_partitions, small, spans_by, texts_of, word_hashes, written
 
@@ -180,23 +181,43 @@ def _judged(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
     yield _marks(np.r_[docs[beaten], sure_docs], np.r_[places[beaten], sure_places], buckets)
 
 
+def _kept(text: bytes, blob: bytes | None) -> tuple[int, list[bytes]]:
+    """The number of a text's words, and those that stay."""
+    words = text.split()
+    n = len(words)
+    if blob:
+        gone = np.cumsum(_edges(blob, n)[:-1]) > 0
+        words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+    return n, words
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words that stay, their digest and what went."""
     names = ["row", "n_words", "n_removed", "kept_sha256", "kept_text"]
     for batch in chunks(batches):
         rows = []
         for text, blob in zip(texts_of(batch), batch.column(batch.schema.get_field_index("places")).to_pylist(), strict=True):
-            words = text.split()
-            n = len(words)
-            if blob:
-                gone = np.cumsum(_edges(blob, n)[:-1]) > 0
-                words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+            n, words = _kept(text, blob)
             kept = b" ".join(words)
             rows.append((n, n - len(words), hashlib.sha256(kept).hexdigest(), kept))
         columns = list(zip(*rows, strict=True))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.binary()).cast(pa.string())], names=names)
 
 
+def _rewritten(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Whole rows with the text in column ``at`` cut; last, whether it lost words and whether any are left."""
+    for batch in chunks(batches, f"in_{at}"):
+        texts, changed, left = batch.column(at).to_pylist(), [], []
+        for i, (text, blob) in enumerate(zip(texts, batch.column(batch.num_columns - 1).to_pylist(), strict=True)):
+            n, words = _kept(text.encode(), blob) if blob and text else (0, [])
+            changed.append(n > len(words))
+            left.append(bool(words) or n == 0)
+            if changed[-1]:
+                texts[i] = b" ".join(words).decode()
+        columns = [pa.array(texts, batch.column(at).type) if i == at else batch.column(i) for i in range(batch.num_columns - 1)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(changed), pa.array(left)], names=[*batch.schema.names[:-1], "changed", "some_left"])
+
+
 def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, places): the stretches of words to remove, as pairs of int32, for each document that has any."""
     if window < PERIOD:
@@ -239,3 +260,21 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shape = "row long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     renamed = joined.select(F.col("doc_id").alias("row"), "text", "places")
     return renamed.mapInArrow(lambda it: _cut(it), shape).withColumnRenamed("row", "doc_id")
+
+
+def cut_documents(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` without repeated passages; rows with no word left go.
+
+    A text that loses nothing stays as it is; of others the words that stay are
+    joined by one space, and n_chars, if there is such a column, is their length.
+    All columns are carried along, whatever their names.
+    """
+    places = repeated_places(docs, window)
+    named = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)])
+    at, key = docs.columns.index("text"), docs.columns.index("doc_id")
+    joined = named.join(small(places, *_extent(places)), F.col(f"in_{key}") == F.col("doc_id"), "left").drop("doc_id")
+    fields = [T.StructField(f"in_{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
+    shape = T.StructType([*fields, T.StructField("changed", T.BooleanType()), T.StructField("some_left", T.BooleanType())])
+    out = joined.mapInArrow(lambda it: _rewritten(it, at), shape).where("some_left")
+    length = lambda i, f: F.when(F.col("changed"), F.length(f"in_{at}").cast(f.dataType)).otherwise(F.col(f"in_{i}"))
+    return out.select(*[(length(i, f) if f.name == "n_chars" else F.col(f"in_{i}")).alias(f.name) for i, f in enumerate(docs.schema.fields)])
