@@ -29,18 +29,35 @@ def current_vintage(df: DataFrame, column: str = "vintage") -> DataFrame:
     return df.join(F.broadcast(last), F.col(column) == F.col("_last")).drop("_last")
 
 
-def as_of(left: DataFrame, right: DataFrame, at: str, since: str, value: str, out: str) -> DataFrame:
+def _number(column: str, kind: str) -> Column:
+    """A number in the order of a day, an instant or a number."""
+    if kind == "date":
+        return F.datediff(F.col(column), F.lit("1970-01-01").cast("date")).cast("double")
+    return (F.unix_micros(F.col(column).cast("timestamp")) / 1e6) if kind.startswith("timestamp") else F.col(column).cast("double")
+
+
+def as_of(left: DataFrame, right: DataFrame, at: str, since: str, value: str, out: str, stretches: int = 256) -> DataFrame:
     """``out``: the value of the right row with the latest ``since`` up to ``at``; of the earliest one if none.
 
-    Left moments and right rows are united, sorted once and scanned: no pair of a
-    moment and an older row is made. ``at`` must be unique in the left.
+    Moments and right rows are united and dealt into stretches of time; each is
+    sorted and scanned by itself, and starts with the last value of the stretches
+    before. No pair of a moment and an older row is made, and no task holds all
+    moments. ``at`` must be unique in the left.
     """
+    kind = left.schema[at].dataType.simpleString()
     first = right.agg(F.min(F.struct(since, value))[value].alias("_first"))
-    marks = right.groupBy(F.col(since).alias("_t")).agg(F.max(value).alias("_v"), F.lit(None).cast(left.schema[at].dataType).alias("_at"))
+    marks = right.groupBy(F.col(since).alias("_t")).agg(F.max(value).alias("_v"), F.lit(None).cast(kind).alias("_at"))
     moments = left.select(F.col(at).alias("_t"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.col(at).alias("_at"))
-    w = Window.orderBy("_t", F.col("_at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    seen = marks.unionByName(moments).withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_at is not null")
-    found = seen.join(F.broadcast(first)).select(F.col("_at").alias(at), F.coalesce("_v", "_first").alias(out), F.col("_v").isNull().alias(f"{out}_borrowed"))
+    both = marks.unionByName(moments).withColumn("_n", _number("_t", kind))
+    span = both.agg(F.min("_n").alias("_lo"), F.greatest(F.max("_n") - F.min("_n"), F.lit(1e-9)).alias("_width"))
+    both = both.crossJoin(F.broadcast(span)).withColumn("_b", F.floor((F.col("_n") - F.col("_lo")) / F.col("_width") * stretches))
+    w = Window.partitionBy("_b").orderBy("_t", F.col("_at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    seen = both.withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_at is not null")
+    ends = both.where("_v is not null").groupBy("_b").agg(F.max_by("_v", "_t").alias("_end"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row for each stretch
+    carried = left.sparkSession.range(stretches + 1).withColumnRenamed("id", "_b").join(ends, "_b", "left").select("_b", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    known = F.coalesce("_v", "_carried")
+    found = seen.join(F.broadcast(carried), "_b").crossJoin(F.broadcast(first)).select(F.col("_at").alias(at), F.coalesce(known, F.col("_first")).alias(out), known.isNull().alias(f"{out}_borrowed"))
     return left.join(found, at, "left")
 
 

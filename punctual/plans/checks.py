@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctual.functions.aggregates import count_where, ratio
@@ -69,7 +69,7 @@ def breach_metric(checks: DataFrame) -> DataFrame:
     return checks.join(breaches(checks), F.lit(True), "left").agg(F.count("name").alias("anomalies"))
 
 
-def failure_category() -> F.Column:
+def failure_category() -> Column:
     error, status = F.col("error"), F.col("status_code")
     return F.when(error == CRASH, "crashed").when(error.isNotNull() & status.isNull(), "transport_error").when(status != 200, "non_200").when(F.col("server_date_utc").isNull(), "null_server_date").otherwise("ok")
 
