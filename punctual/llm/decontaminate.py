@@ -74,7 +74,7 @@ class Index:
 
 def index_of(items: list[tuple[int, bytes]]) -> Index | None:
     """Items without words can't be found and are left out."""
-    rows = [(i, *word_hashes([t], lower=True)) for i, t in items]
+    rows = [(i, *word_hashes([_lowered(t)], lower=False)) for i, t in items]
     rows = [(i, h) for i, h, n in rows if n[0]]
     if not rows:
         return None
@@ -134,9 +134,14 @@ def _matches(index: Index, h: np.ndarray, hits: dict[int, list[tuple[int, int]]]
         yield item, start, size, similarity
 
 
+def _lowered(text: bytes) -> bytes:
+    """Letters of any alphabet lower-cased: passages also turn up in capitals."""
+    return text.decode("utf-8", "replace").lower().encode()
+
+
 def _found(texts: list[bytes], index: Index) -> Iterator[tuple[int, int, int, int, float]]:
     """(text number, item, start, words, similarity) of all that is found in a chunk."""
-    h, counts = word_hashes(texts, lower=True)
+    h, counts = word_hashes([_lowered(t) for t in texts], lower=False)
     ends = np.cumsum(counts)
     hits: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
     for width, (maybe, keys, first, holder) in index.by_width.items():
@@ -173,7 +178,7 @@ def _search(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Reco
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, n_words, similarity): the best window of each document for each item found in it.
 
-    Words are lower-cased (A-Z). An item of fewer than five words is one shingle;
+    Words are lower-cased, in any alphabet. An item of fewer than five words is one shingle;
     a document shorter than an item is compared whole. Null and blank texts hold
     nothing and are found nowhere. Rows that repeat a doc_id or an item_id with
     the same text give the same rows once. Other columns are ignored.

@@ -18,9 +18,9 @@ def brute(docs, items):
     """The best similarity of every item-sized window of every document."""
     out = {}
     for i, text, *_ in docs:
-        w = (text or "").encode().lower().split()
+        w = (text or "").lower().encode().split()
         for j, item, *_ in items:
-            x = (item or "").encode().lower().split()
+            x = (item or "").lower().encode().split()
             if not w or not x or j is None:
                 continue
             g, best = grams(x), 0
@@ -74,6 +74,14 @@ def test_index_finds_all_within_the_radius():
     assert (d.near(index, probes) == (apart <= d.RADIUS)).all()
 
 
+def test_capitals_of_any_alphabet(spark):
+    item = " ".join(f"ñandú{i} éclair ßig öl" for i in range(8))
+    docs = spark.createDataFrame([(1, "so " + item.replace("ß", "s").upper() + " end", 0), (2, "nothing here", 0)], DOCS)
+    items = spark.createDataFrame([(7, item.replace("ß", "s"), 0)], ITEMS)
+    assert [(r.doc_id, r.item_id, r.similarity) for r in d.contaminated(docs, items).collect()] == [(1, 7, 1.0)]
+    assert [r.doc_id for r in d.clean(docs, items).collect()] == [2]
+
+
 def test_empty_tables_and_repeated_rows(spark):
     docs, items = spark.createDataFrame([(1, "a b c d e f", 0)] * 2, DOCS), spark.createDataFrame([(1, "a b c d e f", 0)] * 2, ITEMS)
     assert [tuple(r) for r in d.contaminated(docs, items).collect()] == [(1, 1, 0, 6, 1.0)]
