@@ -13,17 +13,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star contraction: each round links every
     node to the smallest neighbour it knows, until the edges are stars. Rounds
-    grow with the logarithm of the longest path. Hub nodes meet in sort-merge
-    joins, which adaptive execution splits; smallest neighbours are partial
-    aggregates.
+    grow with the logarithm of the longest path. Smallest neighbours are partial
+    aggregates and are written before they are joined, so that both sides of a
+    join are dealt out for it alone and adaptive execution can split a hub.
     """
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
     seen = None
     while True:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo")).where("hi <> lo").distinct()
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")))
+        large = written(both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo")).where("hi <> lo").distinct())
+        least = written(large.groupBy("hi").agg(F.min("lo").alias("m")))
         joined = large.join(least, "hi")
         pairs = joined.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).union(joined.select("hi", F.col("m").alias("lo")))
         now = written(pairs.distinct())
