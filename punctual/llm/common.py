@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker holds at a time. One longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Rows, and bytes, up to which a table may be broadcast.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 
@@ -37,7 +37,7 @@ def remainder(key: Column, modulus: int) -> Column:
 
 def bounded_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes, since ten thousand long texts don't fit a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 * CHUNK_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * CHUNK_BYTES))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -59,7 +59,7 @@ def scratch(spark: SparkSession) -> str:
 def written(df: DataFrame) -> DataFrame:
     """The same rows from a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, scratch(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -31,6 +31,8 @@ DEPTH, LEAST, TELLING, FACTOR = 8, 2e-5, 0.02, 1.15
 #: Pseudo-counts drawn from the suffix's distribution.
 PRIOR = 4.0
 SPACE, END = 32, 10
+#: Bytes of text that are coded together, and words of a vocabulary block.
+CHUNK, BLOCK_WORDS = 3 << 20, 50_000
 
 
 @dataclass
@@ -43,61 +45,75 @@ class Tree:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """For each chunk: its texts as counts of its distinct words (bucket -1), and those words dealt to buckets."""
+    """For each chunk: its texts as counts of its distinct words (bucket null), and those words dealt to buckets.
+
+    A text's words are numbers in ascending order, stored as steps, which
+    compress well. A bucket gets words and counts; their places in the chunk
+    follow from the words again.
+    """
     names = ["chunk", "bucket", "a", "b", "c", "d"]
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=CHUNK):
         ids = batch.column(0).cast(pa.int64())
         held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
         index: dict[bytes, int] = {}
-        docs, places = [], []
+        own, steps, times, words_of, distinct_of = [], [], [], [], []
         for text in texts_of(batch):
-            own = np.array([index.setdefault(w, len(index)) for w in text.lower().split()], np.int32)
-            docs.append(own)
-            places.append(len(own))
-        flat = np.concatenate([np.zeros(0, np.int32), *docs])
-        owner = np.repeat(np.arange(len(docs)), places)
-        words = list(index)
-        train = np.bincount(flat[~held[owner]], minlength=len(words)).astype(np.int64)
-        pair, times = np.unique(owner.astype(np.int64) * max(1, len(words)) + flat, return_counts=True)
+            numbers = np.array([index.setdefault(w, len(index)) for w in text.lower().split()], np.int32)
+            unique, count = np.unique(numbers, return_counts=True)
+            own.append(numbers)
+            steps.append(np.diff(unique, prepend=np.int32(0)))
+            times.append(count.astype(np.int32))
+            words_of.append(len(numbers))
+            distinct_of.append(len(unique))
+        words, none = list(index), np.zeros(0, np.int32)
+        train = np.bincount(np.concatenate([none, *(x for x, h in zip(own, held, strict=True) if not h)]), minlength=len(words)).astype(np.int32)
         blob = b"\n".join(words)
         valid = ids.is_valid().to_numpy(zero_copy_only=False)
         ids = ids.fill_null(0).to_numpy()
         mark = int(hashed([blob + ids.tobytes() + held.tobytes()])[0].view(np.int64))
-        texts = pa.array([np.r_[ids, held.astype(np.int64), valid.astype(np.int64), np.array(places, np.int64)].tobytes()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([mark]), pa.array([-1], pa.int32()), texts, pa.array([blob], pa.binary()), pa.array([pair.tobytes()], pa.binary()), pa.array([times.astype(np.int32).tobytes()], pa.binary())], names=names)
-        if not words:
-            continue
-        keys = hashed(words)
-        number, blobs = pack(keys, buckets, {"n": train, "at": np.arange(len(words), dtype=np.int32), "key": keys})
-        array = np.array(words, object)
-        spelled = [b"\n".join(array[np.frombuffer(x, np.int32)]) for x in blobs["at"]]
-        yield pa.RecordBatch.from_arrays([pa.array([mark] * len(number)), pa.array(number, pa.int32()), pa.array(spelled, pa.binary()), pa.array(blobs["n"], pa.binary()), pa.array(blobs["at"], pa.binary()), pa.array(blobs["key"], pa.binary())], names=names)
+        head = np.r_[ids, held.astype(np.int64), valid.astype(np.int64), np.array(words_of, np.int64), np.array(distinct_of, np.int64)]
+        texts = [head, np.concatenate([none, *steps]), np.concatenate([none, *times])]
+        a, c, d = (pa.array([x.tobytes()], pa.binary()) for x in texts)
+        yield pa.RecordBatch.from_arrays([pa.array([mark]), pa.array([None], pa.int32()), a, pa.array([blob], pa.binary()), c, d], names=names)
+        if words:
+            number, places = _dealt(words, buckets)
+            spelled = [b"\n".join([words[i] for i in at.tolist()]) for at in places]
+            counts = [train[at].tobytes() for at in places]
+            empty = pa.nulls(len(number), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([mark] * len(number)), pa.array(number, pa.int32()), pa.array(spelled, pa.binary()), pa.array(counts, pa.binary()), empty, empty], names=names)
+
+
+def _dealt(words: list[bytes], buckets: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The buckets of a chunk's words, and the places of each bucket's words."""
+    number, blobs = pack(hashed(words), buckets, {"at": np.arange(len(words), dtype=np.int32)})
+    return number, [np.frombuffer(x, np.int32) for x in blobs["at"]]
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Total counts of the words of some buckets: a vocabulary block (chunk null), and the answers to the chunks."""
+    """Total counts of the words of some buckets: vocabulary blocks (chunk null), and the answers to the chunks."""
+    names = ["chunk", "bucket", "a", "b"]
     rows = [r for b in batches for r in b.to_pylist()]
     if not rows:
         return
-    keys = np.concatenate([np.frombuffer(r["d"], U64) for r in rows])
-    n = np.concatenate([np.frombuffer(r["b"], np.int64) for r in rows])
-    lengths = [len(r["b"]) // 8 for r in rows]
+    words = [w for r in rows for w in r["a"].split(b"\n")]
+    keys = hashed(words)
+    n = np.concatenate([np.frombuffer(r["b"], np.int32) for r in rows]).astype(np.int64)
     order = np.argsort(keys, kind="stable")
     run, of = spans_by(keys[order])
     total = np.add.reduceat(n[order], run)
     back = np.empty(len(keys), np.int64)
     back[order] = total[of]
-    at = 0
-    for r, k in zip(rows, lengths, strict=True):
-        yield pa.RecordBatch.from_pydict({"chunk": pa.array([r["chunk"]], pa.int64()), "a": pa.array([r["c"]], pa.binary()), "b": pa.array([back[at : at + k].tobytes()], pa.binary())})
-        at += k
-    words = [w for r in rows for w in r["a"].split(b"\n")]
+    at, parts = 0, []
+    for r in rows:
+        size = len(r["b"]) // 4
+        parts.append(back[at : at + size].tobytes())
+        at += size
+    yield pa.RecordBatch.from_arrays([pa.array([r["chunk"] for r in rows], pa.int64()), pa.array([r["bucket"] for r in rows], pa.int32()), pa.nulls(len(rows), pa.binary()), pa.array(parts, pa.binary())], names=names)
     first = order[run]
-    for a in range(0, len(first), 100_000):
-        part = first[a : a + 100_000]
-        part = part[back[part] > 0]
-        if len(part):
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array([None], pa.int64()), "a": pa.array([b"\n".join(words[i] for i in part.tolist())], pa.binary()), "b": pa.array([back[part].tobytes()], pa.binary())})
+    first = first[back[first] > 0]
+    for a in range(0, len(first), BLOCK_WORDS):
+        part = first[a : a + BLOCK_WORDS]
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int32()), pa.array([b"\n".join([words[i] for i in part.tolist()])], pa.binary()), pa.array([back[part].tobytes()], pa.binary())], names=names)
 
 
 def _bytes_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -235,22 +251,24 @@ def word_scores(tree: Tree, words: list[bytes]) -> np.ndarray:
     return out
 
 
-def _scored(r: dict, answers: list[tuple[bytes, bytes]], tree: Tree, c_end: int, total: int, distinct: int) -> pa.RecordBatch:
+def _scored(r: dict, answers: dict[int, bytes], buckets: int, tree: Tree, c_end: int, total: int, distinct: int) -> pa.RecordBatch:
     """Scores of the texts of one chunk from its words' total counts."""
-    ids, held, valid, places = np.frombuffer(r["a"], np.int64).reshape(4, -1)
+    ids, held, valid, n_words, n_distinct = np.frombuffer(r["a"], np.int64).reshape(5, -1)
     words = r["b"].split(b"\n") if r["b"] else []
     count = np.zeros(len(words), np.int64)
-    for at, n in answers:
-        count[np.frombuffer(at, np.int32)] = np.frombuffer(n, np.int64)
-    pair, times = np.frombuffer(r["c"], np.int64), np.frombuffer(r["d"], np.int32)
-    doc, word = pair // max(1, len(words)), pair % max(1, len(words))
+    for bucket, at in zip(*_dealt(words, buckets), strict=True) if words else ():
+        count[at] = np.frombuffer(answers[int(bucket)], np.int64)
+    steps, times = np.frombuffer(r["c"], np.int32), np.frombuffer(r["d"], np.int32)
+    doc, ends = np.repeat(np.arange(len(ids)), n_distinct), np.cumsum(n_distinct)
+    run = np.cumsum(steps, dtype=np.int64)
+    word = run - np.r_[0, run][ends - n_distinct][doc]
     base, own = np.log10((count + 1) / (total + distinct + 1)), word_scores(tree, words)
     add = lambda x: np.bincount(doc, weights=x * times, minlength=len(ids))
     return pa.RecordBatch.from_pydict(
         {
             "doc_id": pa.array(ids, mask=valid == 0),
             "held_out": pa.array(held == 1),
-            "n_tokens": pa.array(places + 1),
+            "n_tokens": pa.array(n_words + 1),
             "n_known": pa.array(add((count > 0)[word]).round().astype(np.int64) + int(c_end > 0)),
             "train_tokens": pa.array(np.full(len(ids), total, np.int64)),
             "base_score": pa.array(add(base[word]) + np.log10((c_end + 1) / (total + distinct + 1))),
@@ -260,16 +278,16 @@ def _scored(r: dict, answers: list[tuple[bytes, bytes]], tree: Tree, c_end: int,
 
 
 def _answered(batches: Iterator[pa.RecordBatch], *given) -> Iterator[pa.RecordBatch]:
-    """Scores of the texts of each chunk, whose row and answers stand together, the row last."""
-    answers: dict[int, list[tuple[bytes, bytes]]] = {}
+    """Scores of the texts of each chunk, whose answers and row stand together, the row last."""
+    chunk, answers = None, {}
     for batch in batches:
         for r in batch.to_pylist():
+            if r["chunk"] != chunk:
+                chunk, answers = r["chunk"], {}
             if r["bucket"] is None:
-                if r["chunk"] not in answers:
-                    answers = {r["chunk"]: []}
-                answers[r["chunk"]].append((r["a"], r["b"]))
+                yield _scored(r, answers, *given)
             else:
-                yield _scored(r, answers.get(r["chunk"], []), *given)
+                answers[r["bucket"]] = r["b"]
 
 
 def score(docs: DataFrame, modulus: int = 7, held: int = 2, depth: int = DEPTH, least: float = LEAST) -> DataFrame:
@@ -285,8 +303,10 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2, depth: int = DEPTH,
     tasks = shuffle_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id"), modulus) == held).alias("held_out"), "text")
     n_ends = rows.where("not held_out").count()
-    coded = written(rows.mapInArrow(lambda it: _encoded(it, 4 * tasks), "chunk long, bucket int, a binary, b binary, c binary, d binary"))
-    merged = written(coded.where("bucket >= 0").repartition(tasks, "bucket").mapInArrow(_merged, "chunk long, a binary, b binary"))
+    buckets = 4 * tasks
+    coded = written(rows.mapInArrow(lambda it: _encoded(it, buckets), "chunk long, bucket int, a binary, b binary, c binary, d binary"))
+    dealt = coded.where("bucket is not null").select("chunk", "bucket", "a", "b").repartition(tasks, "bucket")
+    merged = written(dealt.mapInArrow(_merged, "chunk long, bucket int, a binary, b binary"))
     vocabulary = merged.where("chunk is null").select("a", "b")
     shape = "n long, total long"
 
@@ -298,10 +318,11 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2, depth: int = DEPTH,
     n_words, total = vocabulary.select("b").mapInArrow(sums, shape).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
     total, distinct = total + n_ends, n_words + (n_ends > 0)
     tree = spark.sparkContext.broadcast(learn(vocabulary, n_ends, depth, least))
-    both = coded.where("bucket < 0").union(merged.where("chunk is not null").select("chunk", F.lit(None).cast("int"), "a", "b", F.lit(None).cast("binary"), F.lit(None).cast("binary")))
-    ready = both.repartition(tasks, "chunk").sortWithinPartitions("chunk", F.col("bucket").asc_nulls_first())
+    none = F.lit(None).cast("binary")
+    both = coded.where("bucket is null").union(merged.where("chunk is not null").select("chunk", "bucket", "a", "b", none.alias("c"), none.alias("d")))
+    ready = both.repartition(tasks, "chunk").sortWithinPartitions("chunk", F.col("bucket").asc_nulls_last())
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _answered(batches, tree.value, n_ends, total, distinct)
+        return _answered(batches, buckets, tree.value, n_ends, total, distinct)
 
     return ready.mapInArrow(answer, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
