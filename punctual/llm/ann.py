@@ -7,8 +7,9 @@ a set of calibration queries, compared exactly with all rows, finds the asked
 share of their neighbours.
 
 Equal vectors are one entry with their smallest ids, so copies cost nothing.
-Leaves are cut into blocks of bounded size, and a block meets the queries that
-visit it in one task.
+Neighbouring leaves make up blocks of bounded size, and large leaves are cut; a
+block meets the queries that visit any of its leaves in one task, which hands on
+the nearest few of each query.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ SAMPLE, BRANCHES, LEAF = 20_000, 8, 200
 #: Sampled vectors below which a node isn't split.
 LEAST = 16
 #: Calibration queries, and the share of their neighbours that must be found.
-PROBES, RECALL = 200, 0.97
-#: Rows of a leaf that one task holds.
-BLOCK = 4096
+PROBES, RECALL = 200, 0.95
+#: Rows of a block that one task holds.
+BLOCK = 2048
 FAN = 1000
 
 
@@ -142,11 +143,42 @@ def _top(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tupl
 
 
 def _search(q: pd.DataFrame, x: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Of each query: the k nearest rows in the leaves of the block that it visits."""
+    none = pd.DataFrame({"qid": [], "vid": [], "score": []}).astype({"qid": "int64", "vid": "int64", "score": "float64"})
     if not len(q) or not len(x):
-        return pd.DataFrame({"qid": [], "vid": [], "score": []}).astype({"qid": "int64", "vid": "int64", "score": "float64"})
-    ids = x["vid"].to_numpy()
-    a, b, s = _top(np.stack(q["q"].to_list()).astype(np.float64), np.stack(x["v"].to_list()).astype(np.float64), ids, k)
-    return pd.DataFrame({"qid": q["qid"].to_numpy()[a], "vid": ids[b], "score": s})
+        return none
+    x = x.sort_values("vid")
+    ids, rows, leaf = x["vid"].to_numpy(), np.stack(x["v"].to_list()).astype(np.float64), x["leaf"].to_numpy()
+    units, parts = unit(rows), []
+    for at in range(0, len(q), 256):
+        part = q.iloc[at : at + 256]
+        queries = np.stack(part["q"].to_list()).astype(np.float64)
+        rough = np.round(unit(queries) @ units.T, 12)
+        for i, visited in enumerate(part["leaves"]):
+            here = np.flatnonzero(np.isin(leaf, visited))
+            if not len(here):
+                continue
+            near = here[np.argsort(-rough[i, here], kind="stable")[: k + 4]]
+            exact = cosines(np.broadcast_to(queries[i], (len(near), rows.shape[1])), rows[near])
+            best = np.lexsort((ids[near], -exact))[:k]
+            parts.append(pd.DataFrame({"qid": part["qid"].iloc[i], "vid": ids[near[best]], "score": exact[best]}))
+    return pd.concat(parts, ignore_index=True) if parts else none
+
+
+def _blocks(counts: dict[int, int]) -> dict[int, tuple[int, int]]:
+    """Of each leaf: its first block and their number; leaves share a block up to ``BLOCK`` rows."""
+    out, block, room = {}, 0, BLOCK
+    for leaf in sorted(counts):
+        n = counts[leaf]
+        if n > room and room < BLOCK:
+            block, room = block + 1, BLOCK
+        own = -(-n // BLOCK)
+        out[leaf] = (block, own)
+        if own > 1:
+            block, room = block + own, BLOCK
+        else:
+            room -= n
+    return out
 
 
 def _smallest(rows: DataFrame, keys: list[str], n: int, k: int) -> DataFrame:
@@ -206,30 +238,33 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, recall: float = RE
     counts = {r.leaf: r.n for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
 
     visits = _calibrated(entries, index, root, n_entries, n_leaves, k, recall)
-    blocks = {leaf: -(-c // BLOCK) for leaf, c in counts.items()}
+    blocks = _blocks(counts)
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, leaf, block = [], [], []
+            at, numbers, leaves = [], [], []
             for i, q in enumerate(unit(_stack(batch.column(1))) if len(batch) else []):
                 seen = met = 0
+                visited: dict[int, list[int]] = {}
                 for bin_ in best_bins(tree.value, q):
                     seen, met = seen + 1, met + counts.get(bin_, 0)
-                    own = blocks.get(bin_, 0)
-                    at += [i] * own
-                    leaf += [bin_] * own
-                    block += range(own)
+                    first, own = blocks.get(bin_, (0, 0))
+                    for block in range(first, first + own):
+                        visited.setdefault(block, []).append(bin_)
                     if seen >= visits and met > 4 * k:
                         break
+                at += [i] * len(visited)
+                numbers += visited
+                leaves += visited.values()
             if at:
                 take = pa.array(at)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(leaf, pa.int64()), pa.array(block, pa.int64())], names=["qid", "q", "leaf", "block"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(numbers, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))], names=["qid", "q", "block", "leaves"])
 
     asked = entries.where("asked").select(F.col("vid").alias("qid"), F.col("v").alias("q")).repartition(shuffle_partitions(spark))
-    asked = asked.mapInArrow(probes, "qid long, q array<double>, leaf long, block long")
-    n_blocks = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for leaf, c in blocks.items() if c > 1 for x in (leaf, c)]), F.col("leaf")), F.lit(1)) if max(blocks.values()) > 1 else F.lit(1)
-    held = index.select("vid", "v", "leaf", F.pmod(F.xxhash64("vid"), n_blocks).cast("long").alias("block"))
-    found = asked.groupBy("leaf", "block").cogroup(held.groupBy("leaf", "block")).applyInPandas(lambda q, x: _search(q, x, k + 1), "qid long, vid long, score double")
+    asked = asked.mapInArrow(probes, "qid long, q array<double>, block long, leaves array<long>")
+    places = spark.createDataFrame([(leaf, first, own) for leaf, (first, own) in blocks.items()], "leaf long, first long, own long")
+    held = index.join(F.broadcast(places), "leaf").select("vid", "v", "leaf", (F.col("first") + F.pmod(F.xxhash64("vid"), F.col("own"))).alias("block"))
+    found = asked.groupBy("block").cogroup(held.groupBy("block")).applyInPandas(lambda q, x: _search(q, x, k + 1), "qid long, vid long, score double")
     near = written(_ranked(found, "qid", k + 1).select("qid", "vid", "score"))
     # Entries stand for all their ids, and a query's own id is no candidate.
     spread = near.join(entries.select("vid", "ids"), "vid").select("qid", "score", F.explode("ids").alias("vid"))
