@@ -115,23 +115,28 @@ def bradley_terry(better: np.ndarray, worse: np.ndarray, pairs: int = PAIRS) ->
     return Scorer(mean, scale, w)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2) -> DataFrame:
-    """(doc_id, text, quality) of the rows to learn from; contradictory labels of a document don't count."""
-    one = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
-    return docs.where(remainder(F.col("doc_id"), modulus) != held).select("doc_id", "text").join(one, "doc_id")
+def quality_of(labels: DataFrame) -> DataFrame:
+    """(doc_id, quality); contradictory labels of a document don't count."""
+    known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
+    return known.where("quality = most").drop("most")
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2) -> Scorer | None:
-    """A scorer from a bounded sample of labelled texts; None if a quality is missing."""
-    rows = labelled(docs, labels, modulus, held)
-    counts = {r.quality: r.n for r in rows.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    """A scorer from a bounded sample of labelled texts; None if a quality is missing.
+
+    The sample is drawn from ids alone; only its texts are moved.
+    """
+    ids = docs.where(remainder(F.col("doc_id"), modulus) != held).select("doc_id").join(quality_of(labels), "doc_id")
+    ids = written(ids)
+    counts = {r.quality: r.n for r in ids.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     if set(counts) != {0, 1}:
         return None
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 40)) / (1 << 40)
     rate = F.when(F.col("quality") == 1, SAMPLE_TEXTS / counts[1]).otherwise(SAMPLE_TEXTS / counts[0])
     bounded_batches(docs.sparkSession)
-    chosen = rows.where(draw < rate).select("doc_id", "quality", "text").limit(4 * SAMPLE_TEXTS)
-    found = chosen.mapInArrow(lambda it: _described(it, None), "doc_id long, quality int, value array<double>").collect()
+    chosen = written(ids.where(draw < rate).distinct().limit(4 * SAMPLE_TEXTS))
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    found = texts.mapInArrow(lambda it: _described(it, None), "doc_id long, quality int, value array<double>").collect()
     found = sorted((r.doc_id, r.quality, r.value) for r in found)
     x, y = np.array([v for *_, v in found]), np.array([q for _, q, _ in found])
     return bradley_terry(x[y == 1], x[y == 0]) if 0 < y.sum() < len(y) else None
@@ -165,8 +170,7 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2) -
         return out.select("doc_id", "held_out", F.lit(0.5).alias("score"), F.lit(0).alias("predicted"))
     bounded_batches(docs.sparkSession)
     raw = written(out.mapInArrow(lambda it: _described(it, scorer), "doc_id long, held_out boolean, value double"))
-    one = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most")
-    line, spread = _line_of(raw.where("not held_out").join(one, "doc_id"))
+    line, spread = _line_of(raw.where("not held_out").join(quality_of(labels), "doc_id"))
     slope = 4.0 / spread
     squash = 1 / (1 + F.exp(-F.least(F.greatest((F.col("value") - line) * slope, F.lit(-30.0)), F.lit(30.0))) * (1 - LINE) / LINE)
     scored = raw.select("doc_id", "held_out", squash.alias("score"))
