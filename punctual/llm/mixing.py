@@ -9,7 +9,7 @@ sizes gives its share and the words taken come near the target.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.llm.common import written
@@ -20,6 +20,11 @@ WEIGHTS, SHARE, LIMIT, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, "mix"
 BLOCK = 20_000
 
 
+def size_of(text: Column) -> Column:
+    """Number of words; null has none."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT) -> DataFrame:
     """(source, source_size, target) from (source, source_size): a row for each source.
 
@@ -43,7 +48,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
 
 
 def plan(docs: DataFrame, key: str = "doc_id", weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT, seed: str = SEED) -> DataFrame:
-    """The columns of ``docs`` (``key``, text, source and any others) with size, source_size, target, copies and taken.
+    """The columns of ``docs`` (``key``, source, text, or else size, and any others) with size, source_size, target, copies and taken.
 
     A size is the number of words of the text (null: 0), ``taken`` the words that
     the copies hold. A null source is a source of its own, the last. Sources
@@ -52,12 +57,13 @@ def plan(docs: DataFrame, key: str = "doc_id", weights: tuple[float, ...] = WEIG
     reruns agree; rows alike in all of these are interchangeable. Columns of the
     input named like the new ones are replaced.
     """
-    docs = docs.drop("size", "source_size", "target", "copies", "taken")
+    size = size_of(F.col("text")) if "text" in docs.columns else F.col("size")
+    docs = docs.drop("source_size", "target", "copies", "taken", *(["size"] if "text" in docs.columns else []))
     key_of = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))  # null is a source of its own
-    rows = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)], "source", F.col(key).cast("string").alias("key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    rows = rows.withColumn("sk", key_of).drop("source")
-    sizes = docs.select("source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    counted = written(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")))
+    rows = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)], "source", F.col(key).cast("string").alias("key"), size.alias("words"))
+    rows = rows.withColumn("sk", key_of)
+    slim = written(rows.select("source", "sk", "key", "words"))  # texts are read once for all statistics
+    counted = written(slim.groupBy("source").agg(F.sum("words").alias("source_size"), F.count("*").alias("n_docs")))
     shares = targets(counted.select("source", "source_size"), weights, share, limit)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce("source", F.lit("\0")))), 1, 8), 16, 10).cast("double") / float(1 << 32)
@@ -66,19 +72,22 @@ def plan(docs: DataFrame, key: str = "doc_id", weights: tuple[float, ...] = WEIG
     # Rank within the source, block by block: a block is a stretch of the order, small however large the source.
     most = counted.agg(F.max("n_docs")).first()[0] or 0
     digits = min(8, len(f"{most // BLOCK:x}"))
-    placed = rows.withColumn("stretch", F.floor(F.sqrt("size")).cast("long")).withColumn("digest", F.md5(F.coalesce("key", F.lit(""))))
-    placed = placed.withColumn("part", F.substring("digest", 1, digits))
+
+    def placed(df: DataFrame) -> DataFrame:
+        df = df.drop("source").withColumn("stretch", F.floor(F.sqrt("words")).cast("long")).withColumn("digest", F.md5(F.coalesce("key", F.lit(""))))
+        return df.withColumn("part", F.substring("digest", 1, digits))
+
     block = ["sk", "stretch", "part"]
     ahead = Window.partitionBy("sk").orderBy("stretch", "part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = placed.groupBy(*block).agg(F.count("*").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+    parts = placed(slim).groupBy(*block).agg(F.count("*").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
     parts = written(parts.select(*block, "ahead").join(shares, "sk"))
     within = Window.partitionBy(*block).orderBy("digest", F.col("key").asc_nulls_last())
     rank = F.col("ahead") + F.col("at")
     copies = F.floor(F.col("rate") * rank + F.col("offset")) - F.floor(F.col("rate") * (rank - 1) + F.col("offset"))
-    out = placed.withColumn("at", F.row_number().over(within)).join(parts, block).withColumn("copies", copies.cast("long"))
-    return out.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)], "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    out = placed(rows).withColumn("at", F.row_number().over(within)).join(parts, block).withColumn("copies", copies.cast("long"))
+    return out.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns) if c != "size"], F.col("words").alias("size"), "source_size", "target", "copies", (F.col("copies") * F.col("words")).alias("taken"))
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document once for each copy, numbered from 1."""
-    return plan(docs, **options).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    """The mix itself: each document once for each copy, numbered from 1 in a new column, copy."""
+    return plan(docs.drop("copy"), **options).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))

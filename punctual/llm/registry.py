@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm import ann, decontaminate, langid, minhash, mixing, quality, substring, suffixtree, urls, warc
-from punctual.llm.common import table
+from punctual.llm import ann, decontaminate, langid, minhash, mixing, oracles, quality, substring, suffixtree, urls, warc
+from punctual.llm.common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+#: Trained models, searches and digests in base 32 have no SQL; tests hold them against brute force.
+ORACLES: dict[str, str] = {"op5_minhash": oracles.MINHASH, "op6_mixing": oracles.MIXING, "op7_substring": oracles.SUBSTRING}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -42,34 +43,9 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.plan(docs).select("doc_id", "size", "source_size", "target", "taken")
-
-
-ORACLES["op6_mixing"] = """
-WITH docs AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents
-), sources AS (
-  SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source
-), weighed AS (
-  SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1]::DOUBLE AS w, source_size * 2.0::DOUBLE AS cap FROM sources
-), leveled AS (
-  SELECT *, ((SELECT sum(source_size) FROM sources) * 1.5::DOUBLE
-    - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-    / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM weighed
-), targets AS (
-  SELECT source, source_size, CASE WHEN cap <= level * w THEN cap
-    ELSE least(cap, (SELECT arg_min(level, cap / w) FROM leveled WHERE cap > level * w) * w) END AS target FROM leveled
-), rates AS (
-  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-    ('0x' || substr(md5('mix' || coalesce(source, chr(0))), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS off FROM targets
-), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY floor(sqrt(size)), md5(coalesce(doc_id::VARCHAR, '')), doc_id::VARCHAR NULLS LAST) AS at FROM docs
-)
-SELECT d.doc_id, d.size, r.source_size, r.target,
-  ((floor(rate * at + off) - floor(rate * (at - 1) + off)) * d.size)::BIGINT AS taken
-FROM ranked d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source
-"""
+    docs = table(spark, sf_dir, "documents")
+    sized = written(docs.select("doc_id", "source", mixing.size_of(F.col("text")).alias("size")))
+    return mixing.plan(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query
