@@ -8,7 +8,8 @@ meet in a table are candidates; every link is confirmed on the full sets.
 Exact copies are one class from the start. Candidates form small components
 nearly always, and those are settled exactly, all members against all, in one
 bounded block. A component beyond ``BLOCK`` members is settled in blocks: all
-members against a few pivots, then what no pivot holds against everything.
+members against a few pivots, then what the largest part found so far does not
+hold against everything, so that every two members not joined yet are compared.
 Blocks are compared as products of 0/1 matrices; no pair is emitted but links.
 """
 
@@ -151,20 +152,19 @@ def _hot_components(hot: DataFrame, percent: int) -> DataFrame:
         .applyInPandas(lambda p, r: _links(p, r, percent), shape)
     )
     near = written(near)
-    held = near.groupBy("b").agg(F.min("a").alias("label")).withColumnRenamed("b", "node")
-    known = parted.join(held, "node", "left").join(pivots.select("node", F.lit(True).alias("is_pivot")).distinct(), "node", "left")
-    known = written(known.withColumn("label", F.coalesce("label", F.when(F.col("is_pivot"), F.col("node")))))
-    lone = written(known.where("label is null"))
-    counts = lone.groupBy("cc").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("lone_blocks"))
-    found = near
-    if not counts.isEmpty():
+    # Two members that no link joins yet are not both in the largest part: the rest meets all members.
+    joined = written(components(near))
+    known = written(parted.join(joined, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component"))
+    largest = known.groupBy("cc", "label").agg(F.count("*").alias("size")).groupBy("cc").agg(F.max_by("label", F.struct("size", "label")).alias("largest"))
+    rest = written(known.join(largest, "cc").where("label <> largest").drop("largest"))
+    counts = rest.groupBy("cc").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("rest_blocks"))
+    if not rest.isEmpty():
         counts, again = written(counts), written(counts)  # two reads: the sides of a cogroup share no columns
-        y = F.pmod(F.xxhash64("node", F.lit(1)), F.col("lone_blocks"))
-        left = known.join(counts, "cc").withColumn("label", F.coalesce("label", "node")).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lone_blocks") - 1)))
-        right = lone.join(again, "cc").withColumn("y", y).drop("blk").withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        y = F.pmod(F.xxhash64("node", F.lit(1)), F.col("rest_blocks"))
+        left = known.join(counts, "cc").withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest_blocks") - 1)))
+        right = rest.join(again, "cc").withColumn("y", y).drop("blk").withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         far = left.groupBy("cc", "blk", "y").cogroup(right.groupBy("cc", "blk", "y")).applyInPandas(lambda p, r: _links(p, r, percent), shape)
-        found = written(near.union(far))
-    joined = components(found)
+        joined = components(written(near.union(far)))
     return hot.select("node").distinct().join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 

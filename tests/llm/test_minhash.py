@@ -60,6 +60,18 @@ def test_large_components_are_settled_in_blocks(spark, monkeypatch):
     assert collected(minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
 
 
+def test_bridge_between_large_clusters(spark):
+    # Two clusters whose one link is between members that pivots of either side hold.
+    words = [f"w{i}" for i in range(124)]
+    at = lambda k: " ".join(words[k : k + 104])
+    rows = [(1000 + i, f"u{i} {at(0)}", "en", 0) for i in range(149)] + [(2000 + i, f"v{i} {at(20)}", "en", 0) for i in range(149)]
+    rows += [(1500, at(5), "en", 0), (2500, at(15), "en", 0)]
+    assert len(rows) > minhash.BLOCK
+    want = brute(rows)
+    assert {top for _, top, _ in want.values()} == {1000}
+    assert collected(minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == want
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
