@@ -293,7 +293,7 @@ c AS (SELECT user_id, count(*) AS n, round(median(gap) / 60)::BIGINT AS cycle FR
 SELECT user_id, c.n, c.cycle, max(least((minute - first_minute) % cycle, cycle - (minute - first_minute) % cycle)) AS drift FROM g JOIN c USING (user_id) WHERE c.cycle > 0 GROUP BY ALL""")
 def q25_clockface(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("s", "event_id")
-    rows = events(spark, sf_dir).where("user_id % 5 = 0").select("user_id", "event_id", F.expr("unix_micros(ts) div 60000000").alias("minute"), (F.unix_micros("ts") / 1e6).alias("s"))
+    rows = events(spark, sf_dir).select("user_id", "event_id", F.expr("unix_micros(ts) div 60000000").alias("minute"), (F.unix_micros("ts") / 1e6).alias("s"))
     rows = rows.withColumn("gap", F.col("s") - F.lag("s").over(w)).withColumn("first_minute", F.first("minute").over(w))
     cycle = rows.groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.median("gap") / 60).cast("long").alias("cycle")).where("cycle > 0")
     offset = F.pmod(F.col("minute") - F.col("first_minute"), F.col("cycle"))
