@@ -181,7 +181,8 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     Words are lower-cased, in any alphabet. An item of fewer than five words is one shingle;
     a document shorter than an item is compared whole. Null and blank texts hold
     nothing and are found nowhere. Rows that repeat a doc_id or an item_id with
-    the same text give the same rows once. Other columns are ignored.
+    the same text give the same rows once. Items without item_id can't be named
+    and give no rows; ``clean`` looks for them too. Other columns are ignored.
     """
     bounded_batches(docs.sparkSession)
     shape = "doc_id long, item_id long, start long, n_words long, similarity double"
@@ -208,10 +209,13 @@ def _portions(items: DataFrame) -> list[Broadcast]:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no item, as ``contaminated`` finds them; all columns are carried along."""
+    """The rows of ``docs`` that hold no item, as ``contaminated`` finds them; all columns are carried along.
+
+    Items without item_id count like others.
+    """
     bounded_batches(docs.sparkSession)
     out = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)])
     shape, name = out.schema, f"in_{docs.columns.index('text')}"
-    for shared in _portions(items):
+    for shared in _portions(items.withColumn("item_id", F.coalesce(F.col("item_id").cast("long"), F.lit(0)))):
         out = out.mapInArrow(lambda it, b=shared: _clean(it, b.value, name), shape)
     return out.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -87,3 +87,11 @@ def test_empty_tables_and_repeated_rows(spark):
     assert [tuple(r) for r in d.contaminated(docs, items).collect()] == [(1, 1, 0, 6, 1.0)]
     assert d.contaminated(docs.limit(0), items).count() == 0
     assert d.contaminated(docs, items.limit(0)).count() == 0
+
+
+def test_clean_finds_items_without_id(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"before it {passage} after it", 1), (2, "nothing of the kind", 1)], DOCS)
+    items = spark.createDataFrame([(None, passage, 1), (0, "some other passage of the benchmark", 1)], ITEMS)
+    assert [r.doc_id for r in d.clean(docs, items).collect()] == [2]
+    assert d.contaminated(docs, items).count() == 0
