@@ -61,3 +61,7 @@ def test_few_candidates(spark):
     assert found(spark, vectors(3), 1) == {q: [(i, pytest.approx(s)) for i, s in v] for q, v in brute(vectors(3), 1).items()}
     assert found(spark, vectors(1), 1) == {}
     assert found(spark, [], 1) == {}
+
+
+def test_share_asked_by_default():
+    assert ann.RECALL >= 0.97
