@@ -7,9 +7,12 @@ the short windows at those positions (6 of 31) are hashed and dealt out. Where a
 anchor occurs in two documents, the 50-word windows around it are hashed in
 turn, and each window's smallest document decides.
 
-Entries travel packed, a binary value per bucket and chunk. Within a chunk a
+Entries travel packed, a binary value per bucket and chunk. The number of
+buckets follows from the bytes of text alone, so a bucket is small whatever the
+partitions are, and a task takes its buckets one after another. Within a chunk a
 hash is settled as far as the chunk can, so a passage that a third of all
-documents hold sends one entry a chunk, not one a document.
+documents hold sends one entry a chunk, not one a document; what is settled goes
+to its document's bucket at once and is only passed on by the judges of hashes.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +32,10 @@ from punctual.llm.common import U64, bounded_batches, chunks, mix, odd_numbers,
 #: A perfect difference set: every remainder modulo 31 is a difference of two of these.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 WINDOW = 50
+#: Bytes of text whose entries make up a bucket.
+BUCKET_BYTES = 8 << 20
 
-PACKED = "bucket int, h binary, d binary, p binary, known binary"
+PACKED = "bucket int, settled boolean, h binary, d binary, p binary, known binary"
 PLACES = "doc_id long, places binary"
 
 
@@ -47,31 +53,58 @@ def _window_hashes(h: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     return mix((total[starts + width] - total[starts]) * down[starts])
 
 
-def _rows(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, known: np.ndarray, buckets: int) -> pa.RecordBatch:
+def _rows(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, known: np.ndarray, buckets: int, settled: bool = False) -> pa.RecordBatch:
     number, blobs = pack(keys, buckets, {"h": keys, "d": docs, "p": places.astype(np.int32), "known": known})
-    return pa.RecordBatch.from_arrays([pa.array(number, pa.int32()), *(pa.array(blobs[c], pa.binary()) for c in ("h", "d", "p", "known"))], names=["bucket", "h", "d", "p", "known"])
+    return pa.RecordBatch.from_arrays([pa.array(number, pa.int32()), pa.array([settled] * len(number), pa.bool_()), *(pa.array(blobs[c], pa.binary()) for c in ("h", "d", "p", "known"))], names=["bucket", "settled", "h", "d", "p", "known"])
 
 
-def _marks(docs: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Settled places, dealt out by document."""
-    return _settled(docs, places.astype(np.int64), buckets)
+def _settled(docs: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Places settled already, dealt out by document."""
+    return _rows(mix(docs.view(U64)), docs, places.astype(np.int64), np.zeros(len(docs), np.int8), buckets, True)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...] | pa.RecordBatch]:
+    """The entries of one bucket after another, from rows sorted by bucket; settled rows are passed through as they come."""
+    parts: list[list[bytes]] = [[], [], [], []]
+    bucket = None
+
+    def whole() -> tuple[np.ndarray, ...]:
+        out = tuple(np.frombuffer(b"".join(part), kind) for part, kind in zip(parts, (U64, np.int64, np.int32, np.int8), strict=True))
+        for part in parts:
+            part.clear()
+        return out
+
+    for batch in batches:
+        mask = batch.column(1)
+        done, batch = batch.filter(mask), batch.filter(pc.invert(mask))
+        if len(done):
+            yield done
+        at, _ = spans_by(batch.column(0).to_numpy())
+        for a, b in zip(at.tolist(), [*at[1:].tolist(), len(batch)], strict=False):
+            number = batch.column(0)[a].as_py()
+            if number != bucket and parts[0]:
+                yield whole()
+            bucket = number
+            for i, part in enumerate(parts):
+                part += batch.column(i + 2).slice(a, b - a).to_pylist()
+    if parts[0]:
+        yield whole()
 
 
 def _stretches(batches: Iterator[pa.RecordBatch], before: int, after: int) -> Iterator[pa.RecordBatch]:
     """One row for each document: the union of the stretches [place - before, place + after), as pairs of int32."""
-    _, docs, places, _ = _gathered(batches)
-    if not len(docs):
-        return
-    order = np.lexsort((places, docs))
-    docs, places = docs[order], places[order].astype(np.int64)
-    lo, hi = np.maximum(places - before, 0), places + after
-    new = np.r_[True, (docs[1:] != docs[:-1]) | (lo[1:] > hi[:-1])]
-    first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(docs)] - 1
-    pairs, docs = np.stack([lo[first], hi[last]], axis=1).astype(np.int32), docs[first]
-    at, _ = spans_by(docs)
-    blobs = [pairs[a:b].tobytes() for a, b in zip(at.tolist(), [*at[1:].tolist(), len(docs)], strict=True)]
-    yield pa.RecordBatch.from_arrays([pa.array(docs[at]), pa.array(blobs, pa.binary())], names=["doc_id", "places"])
+    plain = (b.set_column(1, "settled", pa.array([False] * len(b), pa.bool_())) for b in batches)
+    for _, docs, places, _ in _gathered(plain):
+        order = np.lexsort((places, docs))
+        docs, places = docs[order], places[order].astype(np.int64)
+        lo, hi = np.maximum(places - before, 0), places + after
+        new = np.r_[True, (docs[1:] != docs[:-1]) | (lo[1:] > hi[:-1])]
+        first = np.flatnonzero(new)
+        last = np.r_[first[1:], len(docs)] - 1
+        pairs, docs = np.stack([lo[first], hi[last]], axis=1).astype(np.int32), docs[first]
+        at, _ = spans_by(docs)
+        blobs = [pairs[a:b].tobytes() for a, b in zip(at.tolist(), [*at[1:].tolist(), len(docs)], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(docs[at]), pa.array(blobs, pa.binary())], names=["doc_id", "places"])
 
 
 def _edges(blob: bytes | None, n: int) -> np.ndarray:
@@ -83,8 +116,8 @@ def _edges(blob: bytes | None, n: int) -> np.ndarray:
     return edge
 
 
-#: An entry to judge; one that stands for a hash settled in its chunk; a place settled already.
-ASK, TELL, YES = 0, 1, 2
+#: An entry to judge; one that stands for a hash settled in its chunk.
+ASK, TELL = 0, 1
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -114,28 +147,19 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> It
 
 def _shared(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Of the dealt anchors: the places of those that two documents hold."""
-    keys, docs, places, known = _gathered(batches)
-    if not len(keys):
-        return
-    order = np.lexsort((docs, keys))
-    order = order[known[order] != YES]
-    sure_docs, sure_places = docs[known == YES], places[known == YES]
-    keys, docs, places, known = keys[order], docs[order], places[order], known[order]
-    run, of = spans_by(keys)
-    if len(run):
+    for found in _gathered(batches):
+        if isinstance(found, pa.RecordBatch):
+            yield found
+            continue
+        keys, docs, places, known = found
+        order = np.lexsort((docs, keys))
+        keys, docs, places, known = keys[order], docs[order], places[order], known[order]
+        run, of = spans_by(keys)
         last = np.r_[run[1:], len(keys)] - 1
         common = (docs[run] != docs[last]) | (np.maximum.reduceat(known, run) == TELL)
         keep = common[of] & (known == ASK)
-        docs, places = docs[keep], places[keep]
-    yield _marks(np.r_[docs, sure_docs], np.r_[places, sure_places], buckets)
-
-
-def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
-    parts: list[list[bytes]] = [[], [], [], []]
-    for batch in batches:
-        for part, name in zip(parts, ("h", "d", "p", "known"), strict=True):
-            part += batch.column(batch.schema.get_field_index(name)).to_pylist()
-    return tuple(np.frombuffer(b"".join(part), kind) for part, kind in zip(parts, (U64, np.int64, np.int32, np.int8), strict=True))
+        if keep.any():
+            yield _settled(docs[keep], places[keep], buckets)
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -161,24 +185,19 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> It
         yield _rows(keys[~beaten], docs[~beaten], places[~beaten], np.full(int((~beaten).sum()), ASK, np.int8), buckets)
 
 
-def _settled(docs: np.ndarray, places: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Places settled already: dealt out by document, beside the others."""
-    return _rows(mix(docs.view(U64)), docs, places, np.full(len(docs), YES, np.int8), buckets)
-
-
 def _judged(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """The places of windows that also start in a document with a smaller id."""
-    keys, docs, places, known = _gathered(batches)
-    if not len(keys):
-        return
-    sure = known == YES
-    sure_docs, sure_places = docs[sure], places[sure]
-    keys, docs, places = keys[~sure], docs[~sure], places[~sure]
-    order = np.lexsort((docs, keys))
-    keys, docs, places = keys[order], docs[order], places[order]
-    run, of = spans_by(keys)
-    beaten = docs > docs[run][of] if len(keys) else np.zeros(0, bool)
-    yield _marks(np.r_[docs[beaten], sure_docs], np.r_[places[beaten], sure_places], buckets)
+    for found in _gathered(batches):
+        if isinstance(found, pa.RecordBatch):
+            yield found
+            continue
+        keys, docs, places, _ = found
+        order = np.lexsort((docs, keys))
+        keys, docs, places = keys[order], docs[order], places[order]
+        run, of = spans_by(keys)
+        beaten = docs > docs[run][of]
+        if beaten.any():
+            yield _settled(docs[beaten], places[beaten], buckets)
 
 
 def _kept(text: bytes, blob: bytes | None) -> tuple[int, list[bytes]]:
@@ -225,17 +244,21 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.where("doc_id is not null").select("doc_id", "text")
-    tasks = shuffle_partitions(spark)
-    buckets = 4 * tasks
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = -(-size // BUCKET_BYTES) or 1
+    tasks = min(buckets, shuffle_partitions(spark))
     width = window - PERIOD + 1
 
+    def dealt(packed: DataFrame) -> DataFrame:
+        return packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+
     def stretches(packed: DataFrame, before: int, after: int) -> DataFrame:
-        return written(packed.repartition(tasks, "bucket").mapInArrow(lambda it: _stretches(it, before, after), PLACES))
+        return written(dealt(packed).mapInArrow(lambda it: _stretches(it, before, after), PLACES))
 
-    dealt = docs.mapInArrow(lambda it: _anchors(it, window, buckets), PACKED).repartition(tasks, "bucket")
-    shared = stretches(dealt.mapInArrow(lambda it: _shared(it, buckets), PACKED), window - width, 1)
+    anchors = dealt(docs.mapInArrow(lambda it: _anchors(it, window, buckets), PACKED))
+    shared = stretches(anchors.mapInArrow(lambda it: _shared(it, buckets), PACKED), window - width, 1)
     held = docs.join(small(shared, *_extent(shared)), "doc_id")
-    windows = held.select("doc_id", "text", "places").mapInArrow(lambda it: _windows(it, window, buckets), PACKED).repartition(tasks, "bucket")
+    windows = dealt(held.select("doc_id", "text", "places").mapInArrow(lambda it: _windows(it, window, buckets), PACKED))
     return stretches(windows.mapInArrow(lambda it: _judged(it, buckets), PACKED), 0, window)
 
 

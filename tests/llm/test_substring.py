@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
 from punctual.llm import substring
@@ -71,3 +72,19 @@ def test_repeated_rows_never_cost_each_other(spark):
 def test_cover_holds_every_difference():
     d = {(a - b) % substring.PERIOD for a in substring.COVER for b in substring.COVER}
     assert d == set(range(substring.PERIOD))
+
+
+@pytest.mark.parametrize("copies", [40, 400])
+def test_rows_that_travel_do_not_multiply_with_partitions(copies):
+    text = " ".join(f"w{i}" for i in range(200)).encode()
+    ids, buckets = list(range(copies)), 3
+
+    def steps(parts):
+        batch = lambda own: pa.RecordBatch.from_arrays([pa.array(own), pa.array([text.decode()] * len(own))], names=["doc_id", "text"])
+        anchors = [b for k in range(parts) for b in substring._anchors(iter([batch(ids[k::parts])]), 50, buckets)]
+        rows = pa.Table.from_batches(anchors).sort_by("bucket").to_batches()
+        return sum(map(len, anchors)), sum(len(b) for b in substring._shared(iter(rows), buckets))
+
+    for parts in (8, 32):
+        dealt, shared = steps(parts)
+        assert dealt <= 2 * parts * buckets and shared <= parts * buckets + buckets**2
