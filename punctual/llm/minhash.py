@@ -173,8 +173,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, halves: int = HALVES, wi
 
     Documents whose shingle sets have ``100 * intersection >= percent * union``
     are linked. Null, empty and blank texts have no shingles and no links. Rows
-    that repeat a doc_id count as one node; a null doc_id is never a component's
-    id unless all its class is null. Other columns are ignored.
+    that repeat a doc_id are one node, with the links of all their texts and one
+    component_id; a null doc_id is never a component's id unless all its class is
+    null. Other columns are ignored.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -215,6 +216,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, halves: int = HALVES, wi
         settled = settled.union(_hot_components(hot, percent))
     settled = written(settled.groupBy("node").agg(F.min("component").alias("component")))
 
-    member = marks.drop("halves").join(classes, ["f1", "f2", "n_shingles"], "left").join(settled, "node", "left")
-    out = member.select("doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id"))
+    # An id is one node whatever the texts of its rows: the classes of rows that share it are one component.
+    member = marks.select("doc_id", "n_shingles", "f1", "f2").join(classes, ["f1", "f2", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("node", "doc_id").alias("node"))
+    member = written(member)
+    shared = member.where("doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("doc_id", "a")
+    shared = written(shared)
+    if not shared.isEmpty():
+        joined = member.join(shared, "doc_id").select("a", F.col("node").alias("b"))
+        settled = written(components(joined.union(settled.select("node", "component"))))
+    out = member.join(settled, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

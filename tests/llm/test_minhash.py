@@ -89,3 +89,23 @@ def test_threshold_is_inclusive(spark, similar):
     one = "a b c d e f g h" if similar else "a b c d e f g"
     rows = [(1, "a b c d e f g", "", 0), (2, one + (" z" if not similar else ""), "", 0), (3, "z a b c d e f g h", "", 0)]
     assert collected(minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+
+
+A, B, C = "a b c d e f g h i j", "k l m n o p q r s t", "u v w x y z aa bb cc dd"
+
+
+@pytest.mark.parametrize(
+    ("rows", "want"),
+    [
+        ([(3, A), (5, A), (5, B), (9, B)], {3: {3}, 5: {3}, 9: {3}}),
+        ([(5, ""), (5, B), (3, B), (9, None)], {5: {3}, 3: {3}, 9: {9}}),
+        ([(8, A), (8, B), (2, B + " more"), (8, C), (9, C), (4, "one")], {8: {2}, 2: {2}, 9: {2}, 4: {4}}),
+        ([(7, A), (7, B), (6, C)], {7: {7}, 6: {6}}),
+    ],
+)
+def test_repeated_ids_are_one_node_with_all_links(spark, rows, want):
+    found = {}
+    for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r.doc_id, set()).add(r.component_id)
+        assert r.kept == (r.doc_id == r.component_id)
+    assert found == want

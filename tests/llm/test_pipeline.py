@@ -89,3 +89,10 @@ def test_stages_bear_odd_rows_and_clashing_columns(spark, tmp_path):
                 assert name == "mixing" or ids == want[name]
             else:
                 assert ids == []
+
+
+def test_near_dedup_keeps_one_row_of_repeated_ids(spark):
+    a, b = " ".join(f"a{i}" for i in range(12)), " ".join(f"b{i}" for i in range(12))
+    docs = spark.createDataFrame([(i, t, "aa", "s", 0) for i, t in [(3, a), (5, a), (5, b), (9, b), (12, "z"), (12, "y")]], SCHEMA)
+    out = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "")
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == [(3, a), (12, "y")]
