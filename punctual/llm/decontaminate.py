@@ -8,7 +8,9 @@ up to its share of the radius in some block. Weighted shingle similarity then
 decides exactly. Windows that share no shingle with any item can't be similar
 to one and are never fingerprinted.
 
-Items come in portions of bounded size, each an index that every task holds.
+Items come in portions of bounded size, each an index that every task holds; one
+scan of the documents serves several portions. A text is fingerprinted stretch by
+stretch, so that memory doesn't grow with its length.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ BITS, RADIUS = 128, 38
 BLOCK_BITS = (12,) * 7 + (11,) * 4
 #: Items, and bytes of their texts, that one index holds.
 PORTION_ITEMS, PORTION_BYTES = 2000, 8 << 20
+#: Portions that one scan of the documents looks for.
+SCAN = 4
+#: Windows that are compared at once, and words that they span at most, their own length aside.
+AT_ONCE, SPAN = 1024, 8192
 _MASK = 1 << 20
 
 
@@ -109,27 +115,38 @@ def near(index: Index, bits: np.ndarray) -> np.ndarray:
     return found
 
 
+def _stretches(starts: np.ndarray) -> Iterator[np.ndarray]:
+    """Sorted starts in runs of at most ``AT_ONCE`` that span at most ``SPAN`` words."""
+    a = 0
+    while a < len(starts):
+        b = min(a + AT_ONCE, int(np.searchsorted(starts, starts[a] + SPAN)))
+        yield starts[a:b]
+        a = b
+
+
 def _matches(index: Index, h: np.ndarray, hits: dict[int, list[tuple[int, int]]]) -> Iterator[tuple[int, int, int, float]]:
     """(item, start, words, similarity) of the best window of each item in one text; ``hits``: (place, item) by width."""
     n_words, best = len(h), {}
     for width, found in hits.items():
         grams = _grams(h, width)
-        total = np.zeros((len(grams) + 1, BITS), np.int32)
-        np.cumsum(signs(grams), axis=0, out=total[1:], dtype=np.int32)
         starts: dict[int, set[int]] = defaultdict(set)
         for place, item in found:
             size = int(index.words[item])
             starts[size].update(range(max(0, place - (size - width)), max(0, min(place, n_words - size)) + 1))
         for size, own in sorted(starts.items()):
-            at = np.array(sorted(own), np.int64)
-            end = np.minimum(at + size - width + 1, len(grams))
-            close = near(index, (total[end] - total[at] > 0).astype(np.uint8)) & (index.words == size)
-            for w, item in zip(*np.nonzero(close), strict=True):
-                window, other = Counter(grams[at[w] : end[w]].tolist()), index.grams[item]
-                both = sum((window & other).values())
-                similarity = both / (window.total() + other.total() - both)
-                if similarity >= SIMILARITY and similarity > best.get(int(item), (0, 0, 0.0))[2]:
-                    best[int(item)] = (int(at[w]), min(size, n_words), similarity)
+            for at in _stretches(np.array(sorted(own), np.int64)):
+                low = int(at[0])
+                end = np.minimum(at + size - width + 1, len(grams))
+                part = grams[low : int(end[-1])]
+                total = np.zeros((len(part) + 1, BITS), np.int32)
+                np.cumsum(signs(part), axis=0, out=total[1:], dtype=np.int32)
+                close = near(index, (total[end - low] - total[at - low] > 0).astype(np.uint8)) & (index.words == size)
+                for w, item in zip(*np.nonzero(close), strict=True):
+                    window, other = Counter(grams[at[w] : end[w]].tolist()), index.grams[item]
+                    both = sum((window & other).values())
+                    similarity = both / (window.total() + other.total() - both)
+                    if similarity >= SIMILARITY and similarity > best.get(int(item), (0, 0, 0.0))[2]:
+                        best[int(item)] = (int(at[w]), min(size, n_words), similarity)
     for item, (start, size, similarity) in sorted(best.items()):
         yield item, start, size, similarity
 
@@ -159,17 +176,18 @@ def _found(texts: list[bytes], index: Index) -> Iterator[tuple[int, int, int, in
             yield d, int(index.ids[k]), *rest
 
 
-def _clean(batches: Iterator[pa.RecordBatch], index: Index, name: str) -> Iterator[pa.RecordBatch]:
+def _clean(batches: Iterator[pa.RecordBatch], indexes: list[Index], name: str) -> Iterator[pa.RecordBatch]:
     """The rows in which nothing is found."""
     for batch in chunks(batches, name):
-        dirty = {d for d, *_ in _found(texts_of(batch, name), index)}
+        texts = texts_of(batch, name)
+        dirty = {d for index in indexes for d, *_ in _found(texts, index)}
         yield batch.filter(pa.array([i not in dirty for i in range(len(batch))], pa.bool_())) if dirty else batch
 
 
-def _search(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterator[pa.RecordBatch], indexes: list[Index]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches):
-        ids = batch.column(0)
-        rows = [(ids[d].as_py(), *rest) for d, *rest in _found(texts_of(batch), index)]
+        ids, texts = batch.column(0), texts_of(batch)
+        rows = [(ids[d].as_py(), *rest) for index in indexes for d, *rest in _found(texts, index)]
         if rows:
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["doc_id", "item_id", "start", "n_words", "similarity"])
@@ -187,10 +205,10 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     shape = "doc_id long, item_id long, start long, n_words long, similarity double"
     found = docs.sparkSession.createDataFrame([], shape)
-    portions = _portions(items)
-    for shared in portions:
-        part = docs.select("doc_id", "text").mapInArrow(lambda it, b=shared: _search(it, b.value), shape)
-        found = found.union(part if len(portions) == 1 else written(part))
+    scans = _scans(items)
+    for shared in scans:
+        part = docs.select("doc_id", "text").mapInArrow(lambda it, own=shared: _search(it, [b.value for b in own]), shape)
+        found = found.union(part if len(scans) == 1 else written(part))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words")).alias("m")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", (-F.col("m.back")).alias("start"), "m.n_words", "m.similarity")
 
@@ -208,6 +226,12 @@ def _portions(items: DataFrame) -> list[Broadcast]:
     return out
 
 
+def _scans(items: DataFrame) -> list[list[Broadcast]]:
+    """The portions that each scan of the documents looks for."""
+    portions = _portions(items)
+    return [portions[a : a + SCAN] for a in range(0, len(portions), SCAN)]
+
+
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, as ``contaminated`` finds them; all columns are carried along.
 
@@ -216,6 +240,6 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     out = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)])
     shape, name = out.schema, f"in_{docs.columns.index('text')}"
-    for shared in _portions(items.withColumn("item_id", F.coalesce(F.col("item_id").cast("long"), F.lit(0)))):
-        out = out.mapInArrow(lambda it, b=shared: _clean(it, b.value, name), shape)
+    for shared in _scans(items.withColumn("item_id", F.coalesce(F.col("item_id").cast("long"), F.lit(0)))):
+        out = out.mapInArrow(lambda it, own=shared: _clean(it, [b.value for b in own], name), shape)
     return out.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -95,3 +96,20 @@ def test_clean_finds_items_without_id(spark):
     items = spark.createDataFrame([(None, passage, 1), (0, "some other passage of the benchmark", 1)], ITEMS)
     assert [r.doc_id for r in d.clean(docs, items).collect()] == [2]
     assert d.contaminated(docs, items).count() == 0
+
+
+def test_many_words_and_many_hits_in_bounded_memory(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(d, "AT_ONCE", 64)
+    item = " ".join(f"p{i}" for i in range(40))
+    index = d.index_of([(1, item.encode()), (2, b"one two three four five six")])
+    words = [f"w{x}" for x in rng.integers(0, 99_999, 400_000)]
+    for at in (5, 200_000, 399_950):
+        words[at : at + 40] = item.split()
+    words[300_000:300_030] = "one two three four five six".split() * 5
+    text = " ".join(words).encode()
+    tracemalloc.start()
+    found = list(d._found([text], index))
+    assert tracemalloc.get_traced_memory()[1] < 150 << 20
+    tracemalloc.stop()
+    assert found == [(0, 1, 5, 40, 1.0), (0, 2, 300_000, 6, 1.0)]
