@@ -4,8 +4,8 @@ A clock time of the timetable may pass 24 hours. There are two readings: on the
 wall clock (the day's midnight plus the time, read on the local clock), and
 anchored to a trip (its first departure on the wall clock, then elapsed
 seconds). They differ only where a trip meets a clock change. Skipped wall-clock
-times resolve an hour later; of the two readings of a repeated hour the earlier
-one is taken.
+times resolve an hour later; of the two readings of a repeated hour the later
+one is taken, as SQL engines with the ICU rules do.
 """
 
 from __future__ import annotations
@@ -34,8 +34,15 @@ def seconds(n: Column) -> Column:
 
 
 def wall_instant(day: Column, at: Column, zone: str = ZONE) -> Column:
-    """The instant at which the local clock shows ``at`` seconds after the day's midnight."""
-    return F.to_utc_timestamp(day.cast("timestamp") + seconds(at), zone)
+    """The instant at which the local clock shows ``at`` seconds after the day's midnight.
+
+    Spark reads a repeated hour as the earlier of the two; where the clock shows
+    the same an hour on, that is the later one.
+    """
+    wall = day.cast("timestamp") + seconds(at)
+    first = F.to_utc_timestamp(wall, zone)
+    again = first + F.expr("interval 1 hour")
+    return F.when(F.from_utc_timestamp(again, zone) == wall, again).otherwise(first)
 
 
 def trip_instant(day: Column, first: Column, at: Column, zone: str = ZONE) -> Column:
@@ -78,7 +85,7 @@ def parse_clock(text: str) -> int:
 
 
 def scheduled_instant(day: date, text: str, zone: str = ZONE) -> datetime:
-    """Wall-clock reading on the driver, as ``wall_instant`` in a column."""
+    """Wall-clock reading on the driver, as ``wall_instant`` in a column, but for a repeated hour: here it is the earlier one."""
     wall = datetime(day.year, day.month, day.day) + timedelta(seconds=parse_clock(text))
     return wall.replace(tzinfo=ZoneInfo(zone)).astimezone(UTC)
 

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from punctual.plans import catalogue
+from punctual.plans import catalogue, service
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables here")
@@ -40,3 +40,21 @@ def test_query_matches_its_sql(spark, duck, name):
     names, want = [d[0] for d in result.description], result.fetchall()
     assert sorted(df.columns) == sorted(names)
     assert canonical(df.columns, got) == canonical(names, want)
+
+
+def test_the_service_world_holds_every_case(spark):
+    """The views' queries mean something only where each branch has rows."""
+    marts = service.Marts(service.world(spark, str(DATA)))
+    values = lambda df, c: {r[0] for r in df.select(c).distinct().collect()}
+    assert values(marts.call_observation, "call_status") == {"observed", "skipped", "cancelled", "no_prediction", "absent"}
+    assert values(marts.mart_trip, "status") == {"ran", "cancelled", "incomplete", "unknown"}
+    assert values(marts.service_day, "day_type") == {"public_holiday", "saturday", "sunday", "term_weekday", "holiday_weekday"}
+    assert values(marts.scheduled_trip, "is_timetabled") == {True, False}
+    # Trips that start in the repeated hour.
+    assert marts.scheduled_call.where("service_date = '2027-04-03' and trip_start_s between 26 * 3600 and 27 * 3600 - 1").count()
+
+
+def test_columns_are_as_declared(spark):
+    marts = service.Marts(service.world(spark, str(DATA)))
+    for name, kinds in service.COLUMNS.items():
+        assert ", ".join(f"{c} {t}" for c, t in getattr(marts, name.split("_", 1)[1]).dtypes) == kinds
