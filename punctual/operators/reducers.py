@@ -3,7 +3,9 @@
 A poll is one row per entity: fetched_at_utc, n (the entity's place in the poll)
 and the decoded fields. Order within a key is (fetched_at_utc, n). What a
 record-at-a-time reducer keeps in a dictionary is here the largest struct of an
-aggregate, so partial states combine before the shuffle.
+aggregate, so partial states combine before the shuffle. One thing can't be read
+off a largest struct, the arrival of a call whose newest update has none; those
+calls alone are put in order.
 """
 
 from __future__ import annotations
@@ -52,22 +54,31 @@ def reduce_calls(updates: DataFrame, by: list[str] | None = None) -> DataFrame:
     rows = updates.where(~day_ahead()).withColumn("seen_at", seen_at()).select(*extra, "fetched_at_utc", "n", "seen_at", F.col("start_date").alias("service_date"), "trip_id", "route_id", "has_vehicle", F.posexplode("stops").alias("i", "s"))
     event = lambda name: F.struct(instant(F.col(f"s.{name}.time")).alias("at"), F.when(F.coalesce(F.col(f"s.{name}.time"), F.lit(0)) != 0, F.col(f"s.{name}.delay")).alias("delay"))
     rows = rows.select("*", "s.stop_id", "s.stop_sequence", "s.relationship", event("arrival").alias("arrival"), event("departure").alias("departure"), F.struct("fetched_at_utc", "n", "i").alias("turn")).withColumn("real", F.col("relationship").isin(*REAL))
+    timed = F.col("real") & (F.col("arrival.at").isNotNull() | F.col("arrival.delay").isNotNull())
+    rows = rows.drop("s").withColumn("timed", timed)
     key = [*extra, *STOP_KEY]
-    w = Window.partitionBy(*key).orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    last = F.max(F.when(F.col("real"), F.col("seen_at"))).over(w)
-    rows = rows.withColumn("applied", F.col("real") & F.coalesce(F.col("seen_at") >= last, F.lit(True)))
-    timed = F.col("applied") & (F.col("arrival.at").isNotNull() | F.col("arrival.delay").isNotNull())
-    turn = lambda on: F.when(on, F.col("turn"))
-    out = rows.groupBy(*key).agg(
+    # An update counts if none before it was newer: the last that counts is the newest, of equals the latest.
+    newest = lambda on: F.when(on, F.struct("seen_at", "turn"))
+    state = rows.groupBy(*key).agg(
         F.min_by("route_id", "turn").alias("route_id"),
-        F.max_by(F.struct("arrival", "seen_at"), turn(timed)).alias("a"),
-        F.max_by("departure", turn(F.col("applied"))).alias("d"),
-        F.max(F.when(F.col("applied"), F.col("seen_at"))).alias("last_update_at_utc"),
+        F.max_by(F.struct("arrival", "seen_at"), newest(F.col("timed"))).alias("a"),
+        F.max_by("departure", newest(F.col("real"))).alias("d"),
+        F.max(F.when(F.col("real"), F.col("seen_at"))).alias("last_update_at_utc"),
         F.count(F.when(F.col("real"), 1)).cast("int").alias("n_updates"),
-        F.coalesce(F.max_by("relationship", turn(F.col("applied"))), F.max_by("relationship", "turn")).alias("schedule_relationship"),
+        F.coalesce(F.max_by("relationship", newest(F.col("real"))), F.max_by("relationship", "turn")).alias("schedule_relationship"),
         F.bool_or("has_vehicle").alias("had_vehicle"),
         F.max("seen_at").alias("last_observed_at_utc"),
     )
+    # Newer updates without an arrival may have come before the newest arrival: such calls go through in order.
+    open_ = F.col("a.seen_at") < F.col("last_update_at_utc")
+    doubtful = state.where(open_).select(*[F.col(k).alias(f"_{k}") for k in key])
+    same = lambda t: [F.col(k).eqNullSafe(F.col(f"{t}{k}")) for k in key]
+    w = Window.partitionBy(*key).orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.max(F.when(F.col("real"), F.col("seen_at"))).over(w)
+    ordered = rows.select(*key, "turn", "seen_at", "real", "timed", "arrival").join(doubtful, same("_"), "left_semi").withColumn("last", last)
+    counted = ordered.where(F.col("timed") & F.coalesce(F.col("seen_at") >= F.col("last"), F.lit(True)))
+    exact = counted.groupBy(*key).agg(F.max_by(F.struct("arrival", "seen_at"), "turn").alias("exact")).select(*[F.col(k).alias(f"_{k}") for k in key], "exact")
+    out = state.join(exact, same("_"), "left").withColumn("a", F.when(open_, F.col("exact")).otherwise(F.col("a")))
     lost = F.coalesce(F.col("last_observed_at_utc") > F.col("last_update_at_utc"), F.lit(False))
     return out.select(*key, "route_id", F.col("a.arrival.at").alias("final_predicted_arrival_utc"), F.col("a.arrival.delay").alias("delay_s"), F.col("d.at").alias("final_predicted_departure_utc"), F.col("d.delay").alias("departure_delay_s"), "last_update_at_utc", F.col("a.seen_at").alias("arrival_updated_at_utc"), "n_updates", "schedule_relationship", "had_vehicle", lost.alias("lost_tracking"), "last_observed_at_utc")
 
@@ -102,18 +113,20 @@ def reduce_trips(updates: DataFrame, by: list[str] | None = None) -> DataFrame:
 POSITION_KEY = ["vehicle_id", "observed_at_utc", "lat", "lon"]
 
 
-def first_positions(positions: DataFrame) -> DataFrame:
-    """The first sighting of each vehicle at an instant and place."""
-    rest = [c for c in positions.columns if c not in POSITION_KEY]
+def first_positions(positions: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The first sighting of each vehicle at an instant and place (and each value of ``by``, such as the hour)."""
+    key = [*(by or []), *POSITION_KEY]
+    rest = [c for c in positions.columns if c not in key]
     first = ["fetched_at_utc", *[c for c in rest if c != "fetched_at_utc"]]
-    picked = positions.groupBy(*POSITION_KEY).agg(F.min(F.struct(*first)).alias("r"))
-    return picked.select(*[F.col(c) if c in POSITION_KEY else F.col(f"r.{c}").alias(c) for c in positions.columns])
+    picked = positions.groupBy(*key).agg(F.min(F.struct(*first)).alias("r"))
+    return picked.select(*[F.col(c) if c in key else F.col(f"r.{c}").alias(c) for c in positions.columns])
 
 
-def position_conflicts(positions: DataFrame) -> DataFrame:
-    """How many sightings put a vehicle in a second place at one instant."""
-    places = positions.groupBy("vehicle_id", "observed_at_utc").agg(F.countDistinct("lat", "lon").alias("n"))
-    return places.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dupes_differing_position"))
+def position_conflicts(positions: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """How many sightings put a vehicle in a second place at one instant; for each value of ``by``, if given."""
+    extra = by or []
+    places = positions.groupBy(*extra, "vehicle_id", "observed_at_utc").agg(F.countDistinct("lat", "lon").alias("n"))
+    return places.groupBy(*extra).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dupes_differing_position"))
 
 
 def position_facts() -> list[Column]:

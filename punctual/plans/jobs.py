@@ -6,6 +6,9 @@ partitions it owes and nothing else.
 
 from __future__ import annotations
 
+import resource
+import sys
+import uuid
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +25,13 @@ HOUR = ["dt", "hour"]
 
 def _record(job: str, partition: str, began: datetime, **counts: int) -> dict:
     zero = dict.fromkeys(checks.SUMMED, 0)
-    return {"job": job, "partition": partition, "started_at_utc": began.isoformat(), "finished_at_utc": datetime.now(UTC).isoformat(), **zero, **counts, "peak_rss_mb": 0, "error": None}
+    return {"job": job, "partition": partition, "started_at_utc": began.isoformat(), "finished_at_utc": datetime.now(UTC).isoformat(), **zero, **counts, "peak_rss_mb": peak_rss_mb(), "error": None}
+
+
+def peak_rss_mb() -> int:
+    """The most memory this process has held, in megabytes."""
+    most = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    return most >> (20 if sys.platform == "darwin" else 10)
 
 
 def _hourly(df: DataFrame) -> DataFrame:
@@ -42,23 +51,35 @@ def raw_folders(spark: SparkSession, raw: str, name: str, hours: list[datetime])
 def compact(spark: SparkSession, raw: str, root: str, hours: list[datetime]) -> list[dict]:
     """Partials of the hours, from the polls fetched in them; hours without any object raise.
 
-    All hours are one job for each table: the hour is part of the reducers' key.
+    All hours are one job for each table: the hour is part of the reducers' key,
+    so an hour's partial is the same whatever other hours are compacted with it.
+    Each object is decoded once, into a table that the reducers read. The records
+    count objects and conflicting sightings hour by hour.
     """
     ensure(spark)
     began, found = datetime.now(UTC), {n: raw_folders(spark, raw, n, hours) for n in ("tripupdates", "vehiclepos")}
     if not any(found.values()):
         raise ValueError("no raw objects in these hours")
-    conflicts = 0
-    if found["tripupdates"]:
-        updates = _hourly(feed.trip_updates(_raw(spark, found["tripupdates"])))
-        _put(reduce_calls(updates, HOUR), f"{root}/_partial/trip_stop", "snappy")
-        _put(reduce_trips(updates, HOUR), f"{root}/_partial/trip", "snappy")
-    if found["vehiclepos"]:
-        seen = _hourly(feed.vehicle_positions(_raw(spark, found["vehiclepos"])))
-        # An hour's sightings are its own: the hour stays in the key by way of the earliest fetch.
-        _put(first_positions(seen), f"{root}/_partial/vehicle_position", "snappy")
-        conflicts = position_conflicts(seen).first()[0]
-    return [_record("compactor", f"{h:%Y-%m-%dT%H}", began, objects_read=1, dupes_differing_position=conflicts if i == 0 else 0) for i, h in enumerate(hours)]
+    conflicts: dict[str, int] = {}
+    scratch = f"{root}/_decoded/{uuid.uuid4().hex}"
+    try:
+        if found["tripupdates"]:
+            updates = _decoded(_hourly(feed.trip_updates(_raw(spark, found["tripupdates"]))), f"{scratch}/tripupdates")
+            _put(reduce_calls(updates, HOUR), f"{root}/_partial/trip_stop", "snappy")
+            _put(reduce_trips(updates, HOUR), f"{root}/_partial/trip", "snappy")
+        if found["vehiclepos"]:
+            seen = _decoded(_hourly(feed.vehicle_positions(_raw(spark, found["vehiclepos"]))), f"{scratch}/vehiclepos")
+            _put(first_positions(seen, HOUR), f"{root}/_partial/vehicle_position", "snappy")
+            conflicts = {f"{r.dt}T{r.hour}": r.dupes_differing_position for r in position_conflicts(seen, HOUR).collect()}
+    finally:
+        files.remove(spark, scratch)
+    objects = {f"{h:%Y-%m-%dT%H}": sum(files.count_files(spark, f"{raw}/{n}/dt={h:%Y-%m-%d}/hour={h:%H}") for n in found) for h in hours}
+    return [_record("compactor", p, began, objects_read=n, dupes_differing_position=conflicts.get(p, 0)) for p, n in objects.items()]
+
+
+def _decoded(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _raw(spark: SparkSession, folders: list[str]) -> DataFrame:

@@ -23,6 +23,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def count_files(spark: SparkSession, path: str) -> int:
+    """How many files the folder holds, those of folders below it too; none if it isn't there."""
+    p, store = _folder(spark, path)
+    return store.getContentSummary(p).getFileCount() if store.exists(p) else 0
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    p, store = _folder(spark, path)
+    store.delete(p, True)
+
+
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """All snapshots of a dimension with their label as text; columns are matched by name."""
     return ensure(spark).read.option("mergeSchema", "true").parquet(path)

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from punctual.plans import catalogue, service
+from punctual.plans import catalogue, facts, service
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables here")
@@ -58,3 +58,6 @@ def test_columns_are_as_declared(spark):
     marts = service.Marts(service.world(spark, str(DATA)))
     for name, kinds in service.COLUMNS.items():
         assert ", ".join(f"{c} {t}" for c, t in getattr(marts, name.split("_", 1)[1]).dtypes) == kinds
+    tables = facts.facts(spark, str(DATA))
+    for name, kinds in facts.COLUMNS.items():
+        assert ", ".join(f"{c} {t}" for c, t in facts.RUNS[name.split("_", 1)[1]](tables).dtypes) == kinds
