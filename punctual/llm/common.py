@@ -169,3 +169,36 @@ def spans_by(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new[0] = True
     np.not_equal(keys[1:], keys[:-1], out=new[1:])
     return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def bucket_runs(batches: Iterator[pa.RecordBatch], name: str = "bucket") -> Iterator[pa.Table]:
+    """The rows of one bucket after another, from rows sorted by bucket."""
+    held, now = [], None
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(batch)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            if held and keys[a] != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            now = keys[a]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def squeeze(x: np.ndarray) -> bytes:
+    """An array as bytes: its length, then its bytes place by place, compressed."""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() if len(x) else b""
+    return len(x).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+
+
+def spread(blob: bytes, kind: type) -> np.ndarray:
+    """The array that ``squeeze`` made bytes of."""
+    n, size = int.from_bytes(blob[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, kind)
+    raw = np.frombuffer(pa.decompress(blob[8:], n * size, "zstd", asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(raw.T).view(kind).ravel()

@@ -1,16 +1,28 @@
-"""Language-model scores from a probabilistic suffix tree over the bytes of words.
-
-A text is its words, lower-cased, each closed by a space, and one end. The
-tree's states are byte contexts of varying length that reach back at most to the
-space before the word. A context is kept if it is common enough and if some next
-byte is clearly likelier or rarer after it than after its longest proper suffix
-(the divergence test of Ron, Singer and Tishby). Next-byte distributions are
-smoothed towards the suffix's. A byte is scored in the longest suffix that is a state.
-
-Counts cover every training word. Workers send one entry per distinct word and
-chunk; each word's counts meet in one bucket, which answers the chunks. Contexts
-of a length are counted over the vocabulary, only where their suffix was common,
-so that no more than ``1 / least`` contexts of a length are ever kept.
+"""Language-model scores from a probabilistic suffix tree over words, held in distributed tables.
+
+A text is its words, lower-cased, and one end; words are the tree's symbols. Its
+states are contexts of no word up to three words before a symbol, across all the
+text. Each is judged against its longest proper suffix: a symbol is kept at a
+context if it follows often enough, and so much oftener than the suffix's
+distribution expects that the divergence (the symbol's term of the Poisson
+deviance) reaches ``TELLING``. A context is a state if it keeps a symbol. At a
+state a kept symbol has its discounted share, and what is left of the
+probability goes to the other symbols as the suffix deals it (Katz), so every
+state's distribution sums to one. A symbol is scored in the longest suffix of
+its past that is a state. The root is the add-one unigram model, whose unseen
+words are one symbol.
+
+Counts cover every training word, and states are as many as the corpus has:
+nothing of the tree is collected, but for the few contexts that are too common
+for a task. Workers turn texts to chunks of word numbers. A chunk asks for the
+counts of its distinct words; then sends its distinct pairs of words, each to
+the bucket of the word that is the context, which sees all of it and answers.
+Contexts of two and three words are grown only where each of their words stands
+out behind the one before, and go to the bucket of their last two words, which
+holds the whole branch of the tree above them.
+
+Buckets are numbered by the bytes of text alone and taken one by one, so a task
+never holds more than one. A context beyond ``HOT`` words is dealt out by symbol.
 """
 
 from __future__ import annotations
@@ -23,64 +35,62 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import U64, bounded_batches, chunks, hashed, pack, remainder, shuffle_partitions, spans_by, texts_of, written
+from punctual.llm.common import U64, bounded_batches, bucket_runs, chunks, hashed, mix, pack, remainder, shuffle_partitions, spans_by, spread, squeeze, texts_of, written
 
-#: Longest context; least share of all bytes that a context must have; least
-#: probability of the byte that tells it apart, and by what factor.
-DEPTH, LEAST, TELLING, FACTOR = 8, 2e-5, 0.02, 1.15
-#: Pseudo-counts drawn from the suffix's distribution.
-PRIOR = 4.0
-SPACE, END = 32, 10
-#: Bytes of text that are coded together, and words of a vocabulary block.
-CHUNK, BLOCK_WORDS = 3 << 20, 50_000
+#: Divergence, in nats, that keeps a symbol; how often it must follow; what is taken off its count.
+TELLING, LEAST, DISCOUNT = 12.0, 2, 0.75
+#: Bytes of text that are coded together, and that make up a bucket.
+CHUNK, BUCKET_BYTES = 3 << 20, 8 << 20
+#: Occurrences, and share of all, from which a context is dealt out by symbol: there are at most 100,000 such contexts.
+HOT, HOT_SHARE = 2_000_000, 1e-5
+#: The end of a text, and all symbols that no context can keep, as keys of symbols.
+END_KEY, OTHER = 0xE0D, 0
+_KEY = U64((1 << 48) - 1)
+
+ROWS = "chunk long, bucket int, a binary, b binary, c binary, d binary, x long, y long"
+_KINDS = {"chunk": pa.int64(), "bucket": pa.int32(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary(), "d": pa.binary(), "x": pa.int64(), "y": pa.int64()}
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 @dataclass
-class Tree:
-    """A state per context: where a byte leads, and its log10 probability."""
+class Root:
+    """Training totals: tokens, distinct tokens, ends; and the contexts that are dealt out by symbol, by key, with their counts."""
 
-    step: np.ndarray
-    logp: np.ndarray
-    start: int
+    total: int
+    distinct: int
+    ends: int
+    hot: np.ndarray
+    hot_n: np.ndarray
 
+    def logp(self, count: np.ndarray) -> np.ndarray:
+        return np.log10((count + 1) / (self.total + self.distinct + 1))
 
-def _encoded(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """For each chunk: its texts as counts of its distinct words (bucket null), and those words dealt to buckets.
 
-    A text's words are numbers in ascending order, stored as steps, which
-    compress well. A bucket gets words and counts; their places in the chunk
-    follow from the words again.
-    """
-    names = ["chunk", "bucket", "a", "b", "c", "d"]
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of the first columns that they have; the rest are null."""
+    columns = zip(*((*r, *([None] * (len(_KINDS) - len(r)))) for r in rows), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS.values(), strict=True)], names=list(_KINDS))
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """For each chunk: its texts as numbers of its distinct words (bucket null), and those words with their training counts, dealt to buckets."""
     for batch in chunks(batches, limit=CHUNK):
         ids = batch.column(0).cast(pa.int64())
         held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
         index: dict[bytes, int] = {}
-        own, steps, times, words_of, distinct_of = [], [], [], [], []
-        for text in texts_of(batch):
-            numbers = np.array([index.setdefault(w, len(index)) for w in text.lower().split()], np.int32)
-            unique, count = np.unique(numbers, return_counts=True)
-            own.append(numbers)
-            steps.append(np.diff(unique, prepend=np.int32(0)))
-            times.append(count.astype(np.int32))
-            words_of.append(len(numbers))
-            distinct_of.append(len(unique))
-        words, none = list(index), np.zeros(0, np.int32)
-        train = np.bincount(np.concatenate([none, *(x for x, h in zip(own, held, strict=True) if not h)]), minlength=len(words)).astype(np.int32)
-        blob = b"\n".join(words)
+        own = [np.array([index.setdefault(w, len(index)) for w in text.lower().split()], np.int32) for text in texts_of(batch)]
+        words, n_words = list(index), np.array([len(x) for x in own], np.int64)
+        seq = np.concatenate([np.zeros(0, np.int32), *own])
+        train = np.bincount(seq[np.repeat(~held, n_words)], minlength=len(words)).astype(np.int32)
         valid = ids.is_valid().to_numpy(zero_copy_only=False)
-        ids = ids.fill_null(0).to_numpy()
-        mark = int(hashed([blob + ids.tobytes() + held.tobytes()])[0].view(np.int64))
-        head = np.r_[ids, held.astype(np.int64), valid.astype(np.int64), np.array(words_of, np.int64), np.array(distinct_of, np.int64)]
-        texts = [head, np.concatenate([none, *steps]), np.concatenate([none, *times])]
-        a, c, d = (pa.array([x.tobytes()], pa.binary()) for x in texts)
-        yield pa.RecordBatch.from_arrays([pa.array([mark]), pa.array([None], pa.int32()), a, pa.array([blob], pa.binary()), c, d], names=names)
+        head = np.r_[ids.fill_null(0).to_numpy(), held.astype(np.int64), valid.astype(np.int64), n_words]
+        blob = b"\n".join(words)
+        mark = int(hashed([blob + head.tobytes() + seq.tobytes()])[0].view(np.int64))
+        rows = [(mark, None, squeeze(head), squeeze(np.frombuffer(blob, np.uint8)), squeeze(seq))]
         if words:
             number, places = _dealt(words, buckets)
-            spelled = [b"\n".join([words[i] for i in at.tolist()]) for at in places]
-            counts = [train[at].tobytes() for at in places]
-            empty = pa.nulls(len(number), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([mark] * len(number)), pa.array(number, pa.int32()), pa.array(spelled, pa.binary()), pa.array(counts, pa.binary()), empty, empty], names=names)
+            rows += [(mark, int(b), squeeze(np.frombuffer(b"\n".join([words[i] for i in at.tolist()]), np.uint8)), squeeze(train[at])) for b, at in zip(number, places, strict=True)]
+        yield _batch(rows)
 
 
 def _dealt(words: list[bytes], buckets: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -89,208 +99,267 @@ def _dealt(words: list[bytes], buckets: int) -> tuple[np.ndarray, list[np.ndarra
     return number, [np.frombuffer(x, np.int32) for x in blobs["at"]]
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Total counts of the words of some buckets: vocabulary blocks (chunk null), and the answers to the chunks."""
-    names = ["chunk", "bucket", "a", "b"]
-    rows = [r for b in batches for r in b.to_pylist()]
-    if not rows:
-        return
-    words = [w for r in rows for w in r["a"].split(b"\n")]
-    keys = hashed(words)
-    n = np.concatenate([np.frombuffer(r["b"], np.int32) for r in rows]).astype(np.int64)
-    order = np.argsort(keys, kind="stable")
-    run, of = spans_by(keys[order])
-    total = np.add.reduceat(n[order], run)
-    back = np.empty(len(keys), np.int64)
-    back[order] = total[of]
-    at, parts = 0, []
-    for r in rows:
-        size = len(r["b"]) // 4
-        parts.append(back[at : at + size].tobytes())
-        at += size
-    yield pa.RecordBatch.from_arrays([pa.array([r["chunk"] for r in rows], pa.int64()), pa.array([r["bucket"] for r in rows], pa.int32()), pa.nulls(len(rows), pa.binary()), pa.array(parts, pa.binary())], names=names)
-    first = order[run]
-    first = first[back[first] > 0]
-    for a in range(0, len(first), BLOCK_WORDS):
-        part = first[a : a + BLOCK_WORDS]
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int32()), pa.array([b"\n".join([words[i] for i in part.tolist()])], pa.binary()), pa.array([back[part].tobytes()], pa.binary())], names=names)
-
-
-def _bytes_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Words between spaces in one array, and each byte's place in its word (the space before: 0)."""
-    flat = np.frombuffer(b"".join(b" " + w + b" " for w in words), np.uint8)
-    sizes = np.array([len(w) + 2 for w in words], np.int64)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return flat, place
-
-
-def _context_counts(batches: Iterator[pa.RecordBatch], depth: int, known: set[bytes]) -> Iterator[pa.RecordBatch]:
-    """(context, next byte, count) for the contexts of one length whose suffix was common."""
-    suffixes = np.sort(hashed(sorted(known))) if depth > 1 else np.zeros(0, U64)
-    for batch in batches:
-        for row in batch.to_pylist():
-            words, n = row["a"].split(b"\n"), np.frombuffer(row["b"], np.int64)
-            flat, place = _bytes_of(words)
-            owner = np.cumsum(place == 0) - 1
-            at = np.flatnonzero(place >= depth)
-            if not len(at):
-                continue
-            windows = np.lib.stride_tricks.sliding_window_view(flat, depth + 1)[at - depth]
-            # The context's bytes and the next one, as one key of at most nine bytes: eight and the rest.
-            padded = np.zeros((len(at), 16), np.uint8)
-            padded[:, : depth + 1] = windows
-            two = padded.view(U64)
-            if depth > 1:
-                joined = windows[:, 1:depth]
-                unique, back = np.unique(np.ascontiguousarray(joined).view(f"V{depth - 1}").ravel(), return_inverse=True)
-                marks = hashed([x.tobytes() for x in unique])
-                spot = np.minimum(np.searchsorted(suffixes, marks), max(0, len(suffixes) - 1))
-                good = (suffixes[spot] == marks)[back] if len(suffixes) else np.zeros(len(at), bool)
-                two, at = two[good], at[good]
-            if not len(at):
-                continue
-            weight = n[owner[at]]
-            order = np.lexsort((two[:, 1], two[:, 0]))
-            two, weight = two[order], weight[order]
-            new = np.r_[True, (two[1:] != two[:-1]).any(axis=1)]
-            sums = np.add.reduceat(weight, np.flatnonzero(new))
-            cells = np.ascontiguousarray(two[new]).view(np.uint8)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in np.ascontiguousarray(cells[:, :depth])], pa.binary()), pa.array(cells[:, depth].astype(np.int32)), pa.array(sums)], names=["context", "next", "n"])
-
-
-def learn(vocabulary: DataFrame, n_ends: int, depth: int = DEPTH, least: float = LEAST) -> Tree:
-    """The tree from blocks of words and counts; what reaches the driver is bounded by ``least``."""
-    spread: dict[bytes, np.ndarray] = {}
-    root = np.zeros(256)
-    known: set[bytes] = set()
-    for length in range(1, depth + 1):
-        counts = vocabulary.mapInArrow(lambda it, d=length, k=known: _context_counts(it, d, k), "context binary, next int, n long").groupBy("context", "next").agg(F.sum("n").alias("n"))
-        if length == 1:
-            rows = counts.collect()
-            for r in rows:
-                root[r.next] += r.n
-            root[END] += n_ends
-            floor = max(2.0, least * root.sum())
-            found: dict[bytes, np.ndarray] = {}
-            for r in rows:
-                found.setdefault(bytes(r.context), np.zeros(256))[r.next] += r.n
-            found.setdefault(b" ", np.zeros(256))[END] += n_ends
-            found = {c: x for c, x in found.items() if x.sum() >= floor}
-        else:
-            counts = written(counts)
-            common = counts.groupBy("context").agg(F.sum("n").alias("total")).where(F.col("total") >= floor).select("context")
-            found = {}
-            rows = counts.join(common, "context").toPandas()
-            for context, byte, n in zip(rows["context"], rows["next"], rows["n"], strict=True):
-                found.setdefault(bytes(context), np.zeros(256))[byte] += n
-        spread |= found
-        known = set(found)
-        if not known:
-            break
-    return _grown(root, spread)
-
-
-def _grown(root: np.ndarray, spread: dict[bytes, np.ndarray]) -> Tree:
-    """Contexts that pass the divergence test, with those between them and the root, as an automaton."""
-    seen = root > 0
-    smooth = {b"": (root + 0.5) / (root.sum() + 128)}
-    kept = {b""}
-    for context in sorted(spread, key=lambda c: (len(c), c)):
-        suffix = context[1:]
-        while suffix not in smooth:
-            suffix = suffix[1:]
-        parent, n = smooth[suffix], spread[context]
-        p = (n + PRIOR * parent) / (n.sum() + PRIOR)
-        ratio = p / parent
-        if len(context) == 1 or (((p >= TELLING) | (parent >= TELLING)) & seen & ((ratio >= FACTOR) | (ratio <= 1 / FACTOR))).any():
-            smooth[context] = p
-            kept.add(context)
-    for context in sorted(kept):  # an automaton needs every beginning of a state, with the longest state's distribution
-        for k in range(1, len(context)):
-            kept.add(context[:k])
-    order = sorted(kept, key=lambda c: (len(c), c))
-    number = {c: i for i, c in enumerate(order)}
-    longer: dict[bytes, list[bytes]] = {}
-    for c in order[1:]:
-        longer.setdefault(c[:-1], []).append(c)
-    step = np.zeros((len(order), 256), np.int32)
-    logp = np.zeros((len(order), 256), np.float32)
-    for i, c in enumerate(order):  # a state steps as its suffix does, but where a longer state begins
-        if c:
-            fall = number[fall_of(c, number)]
-            step[i], logp[i] = step[fall], logp[fall]
-        if c in smooth:
-            logp[i] = np.log10(smooth[c])
-        for x in longer.get(c, ()):
-            step[i, x[-1]] = number[x]
-    return Tree(step, logp, int(step[0, SPACE]))
-
-
-def fall_of(context: bytes, number: dict[bytes, int]) -> bytes:
-    """The longest proper suffix that is a state."""
-    suffix = context[1:]
-    while suffix not in number:
-        suffix = suffix[1:]
-    return suffix
-
-
-def word_scores(tree: Tree, words: list[bytes]) -> np.ndarray:
-    """log10 probability of each word with its closing space, from the state after a space."""
-    sizes = np.array([len(w) + 1 for w in words], np.int64)
-    out = np.zeros(len(words))
-    flat = np.frombuffer(b" ".join(words) + b" ", np.uint8)
-    starts = np.cumsum(sizes) - sizes
-    active, state = np.argsort(-sizes, kind="stable"), np.full(len(words), tree.start, np.int32)
-    sorted_sizes = sizes[active]
-    for k in range(int(sizes.max(initial=0))):
-        live = active[: np.searchsorted(-sorted_sizes, -k, side="left")]
-        byte = flat[starts[live] + k]
-        now = state[live]
-        out[live] += tree.logp[now, byte]
-        state[live] = tree.step[now, byte]
-    return out
-
-
-def _scored(r: dict, answers: dict[int, bytes], buckets: int, tree: Tree, c_end: int, total: int, distinct: int) -> pa.RecordBatch:
-    """Scores of the texts of one chunk from its words' total counts."""
-    ids, held, valid, n_words, n_distinct = np.frombuffer(r["a"], np.int64).reshape(5, -1)
-    words = r["b"].split(b"\n") if r["b"] else []
-    count = np.zeros(len(words), np.int64)
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Total counts of a bucket's words, as answers to the chunks; and (chunk null) the bucket's sums and commonest words."""
+    for run in bucket_runs(batches):
+        rows = run.to_pylist()
+        words = [w for r in rows for w in spread(r["a"], np.uint8).tobytes().split(b"\n")]
+        asked = [spread(r["b"], np.int32) for r in rows]
+        n, keys = np.concatenate(asked).astype(np.int64), hashed(words)
+        order = np.argsort(keys, kind="stable")
+        at, of = spans_by(keys[order])
+        total = np.add.reduceat(n[order], at)
+        back = np.empty(len(keys), np.int64)
+        back[order] = total[of]
+        ends = np.cumsum([len(x) for x in asked])
+        out = [(r["chunk"], r["bucket"], squeeze(back[e - len(x) : e])) for r, x, e in zip(rows, asked, ends.tolist(), strict=True)]
+        hot = total >= HOT
+        yield _batch([*out, (None, None, squeeze(keys[order][at][hot] & _KEY), squeeze(total[hot]), None, None, int((total > 0).sum()), int(total.sum()))])
+
+
+@dataclass
+class Texts:
+    """A chunk's texts as positions, each a symbol and the word before it (-1 at a text's start)."""
+
+    ids: np.ndarray
+    held: np.ndarray
+    valid: np.ndarray
+    n_words: np.ndarray
+    symbol: np.ndarray
+    before: np.ndarray
+    doc: np.ndarray
+    count: np.ndarray
+    key: np.ndarray
+    root: np.ndarray
+
+    @property
+    def train(self) -> np.ndarray:
+        return ~self.held[self.doc]
+
+
+def _texts(r: dict, answers: dict[int, bytes], buckets: int, root: Root) -> Texts:
+    """A chunk's row with the counts of its words; the symbol behind the last word is the end."""
+    ids, held, valid, n_words = spread(r["a"], np.int64).reshape(4, -1)
+    blob = spread(r["b"], np.uint8).tobytes()
+    words = blob.split(b"\n") if blob else []
+    count = np.zeros(len(words) + 1, np.int64)
     for bucket, at in zip(*_dealt(words, buckets), strict=True) if words else ():
-        count[at] = np.frombuffer(answers[int(bucket)], np.int64)
-    steps, times = np.frombuffer(r["c"], np.int32), np.frombuffer(r["d"], np.int32)
-    doc, ends = np.repeat(np.arange(len(ids)), n_distinct), np.cumsum(n_distinct)
-    run = np.cumsum(steps, dtype=np.int64)
-    word = run - np.r_[0, run][ends - n_distinct][doc]
-    base, own = np.log10((count + 1) / (total + distinct + 1)), word_scores(tree, words)
-    add = lambda x: np.bincount(doc, weights=x * times, minlength=len(ids))
-    return pa.RecordBatch.from_pydict(
-        {
-            "doc_id": pa.array(ids, mask=valid == 0),
-            "held_out": pa.array(held == 1),
-            "n_tokens": pa.array(n_words + 1),
-            "n_known": pa.array(add((count > 0)[word]).round().astype(np.int64) + int(c_end > 0)),
-            "train_tokens": pa.array(np.full(len(ids), total, np.int64)),
-            "base_score": pa.array(add(base[word]) + np.log10((c_end + 1) / (total + distinct + 1))),
-            "score": pa.array(add(own[word]) + float(tree.logp[tree.start, END])),
-        }
-    )
-
-
-def _answered(batches: Iterator[pa.RecordBatch], *given) -> Iterator[pa.RecordBatch]:
-    """Scores of the texts of each chunk, whose answers and row stand together, the row last."""
-    chunk, answers = None, {}
+        count[at] = spread(answers[int(bucket)], np.int64)
+    count[-1] = root.ends
+    ends = np.cumsum(n_words + 1) - 1
+    symbol = np.full(int((n_words + 1).sum()), len(words), np.int64)
+    inner = np.ones(len(symbol), bool)
+    inner[ends] = False
+    symbol[inner] = spread(r["c"], np.int32)
+    before = np.r_[-1, symbol[:-1]][: len(symbol)]
+    before[ends - n_words] = -1
+    key = np.r_[hashed(words), np.array([END_KEY], U64)] & _KEY
+    return Texts(ids, held == 1, valid == 1, n_words, symbol, before, np.repeat(np.arange(len(ids)), n_words + 1), count, key, root.logp(count))
+
+
+@dataclass
+class Entries:
+    """A chunk's distinct pairs of a context and a symbol, in the order of their buckets; ``of`` is each position's entry (-1: none)."""
+
+    bucket: np.ndarray
+    context: np.ndarray
+    symbol: np.ndarray
+    back: np.ndarray
+    n: np.ndarray
+    of: np.ndarray
+
+    def rows(self, chunk: int) -> list[tuple]:
+        at, _ = spans_by(self.bucket)
+        spans = zip(at.tolist(), [*at[1:].tolist(), len(self.bucket)], strict=False)
+        return [(chunk, int(self.bucket[a]), squeeze(self.contexts(a, b)), squeeze(self.symbol[a:b]), squeeze(self.back[a:b]), squeeze(self.n[a:b])) for a, b in spans]
+
+    def contexts(self, a: int, b: int) -> np.ndarray:
+        return self.context[a:b]
+
+
+def _pairs(t: Texts, buckets: int, root: Root) -> Entries:
+    """Pairs of a word and the symbol behind it. Words seen once are no context; symbols seen once are one, that nothing keeps."""
+    at = np.flatnonzero(t.before >= 0)
+    at = at[t.count[t.before[at]] >= LEAST]
+    width = len(t.key) + 1
+    kept = np.where(t.count[t.symbol[at]] >= LEAST, t.symbol[at], width - 1)
+    code, inverse = np.unique(t.before[at] * width + kept, return_inverse=True)
+    n = np.bincount(inverse, weights=t.train[at], minlength=len(code)).astype(np.int32)
+    context, symbol = t.key[code // width], np.r_[t.key, np.array([OTHER], U64)][code % width]
+    back = np.r_[t.root, 0.0][code % width].astype(np.float32)
+    dealt = mix(np.where(np.isin(context, root.hot), context ^ mix(symbol), context)) % U64(buckets)
+    order = np.lexsort((symbol, context, dealt))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    of = np.full(len(t.symbol), -1, np.int64)
+    of[at] = place[inverse]
+    # Symbols by 32 bits and their probability, which tells most others apart too.
+    return Entries(dealt[order].astype(np.int64), context[order], symbol[order].astype(np.uint32), back[order], n[order], of)
+
+
+def judged(context: np.ndarray, symbol: np.ndarray, back: np.ndarray, n: np.ndarray, sizes: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+    """Which entries are kept, and each entry's log10: of its probability if kept, else of the factor on the suffix's.
+
+    All entries of a context must be here, or else ``sizes`` has its occurrences;
+    the sums of such contexts come last: (context, probability kept, the suffix's).
+    Entries with the symbol ``OTHER`` are never kept.
+    """
+    kept, value = np.zeros(len(context), bool), np.zeros(len(context))
+    if not len(context):
+        return kept, value, (context, value, value)
+    order = np.lexsort((back, symbol, context))
+    c, s, p, times = context[order], symbol[order], 10.0 ** back[order].astype(np.float64), n[order].astype(np.float64)
+    new = np.r_[True, (c[1:] != c[:-1]) | (s[1:] != s[:-1]) | (back[order][1:] != back[order][:-1])]
+    first = np.flatnonzero(new)
+    pair = np.cumsum(new) - 1
+    together, p, own = np.add.reduceat(times, first), p[first], c[first]
+    at, group = spans_by(own)
+    size = np.add.reduceat(together, at)
+    split = np.zeros(len(at), bool)
+    if sizes:
+        known = np.array([sizes.get(int(k), -1) for k in own[at].tolist()], np.float64)
+        split = known >= 0
+        size = np.where(split, known, size)
+    expected = size[group] * p
+    with np.errstate(divide="ignore", invalid="ignore"):
+        far = together * np.log(together / expected) - together + expected
+    good = (together >= LEAST) & (together > expected) & (far >= TELLING) & (s[first] != OTHER)
+    share = np.where(good, (together - DISCOUNT) / np.maximum(size[group], 1), 0.0)
+    mass, lost = np.add.reduceat(share, at), np.add.reduceat(np.where(good, p, 0.0), at)
+    rest = _rest(mass, lost)
+    rest[split] = 0.0
+    with np.errstate(divide="ignore"):
+        found = np.where(good, np.log10(np.maximum(share, 1e-300)), rest[group])
+    kept[order], value[order] = good[pair], found[pair]
+    return kept, value, (own[at][split], mass[split], lost[split])
+
+
+def _rest(mass: np.ndarray, lost: np.ndarray) -> np.ndarray:
+    """log10 of the factor on the suffix's probability of symbols that are not kept."""
+    return np.log10(np.maximum(1 - mass, 1e-12) / np.maximum(1 - lost, 1e-12))
+
+
+def _judge_pairs(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.RecordBatch]:
+    """Answers to a bucket's pairs; and (chunk null) the sums of contexts that are dealt out by symbol."""
+    sizes = dict(zip(root.hot.tolist(), root.hot_n.tolist(), strict=True))
+    for run in bucket_runs(batches):
+        rows = run.to_pylist()
+        parts = [[spread(r[k], kind) for r in rows] for k, kind in (("a", U64), ("b", np.uint32), ("c", np.float32), ("d", np.int32))]
+        kept, value, sums = judged(*(np.concatenate(p) for p in parts), sizes)
+        ends = np.cumsum([len(x) for x in parts[0]]).tolist()
+        out = [(r["chunk"], r["bucket"], None, squeeze(kept[e - len(x) : e].astype(np.uint8)), squeeze(value[e - len(x) : e].astype(np.float32))) for r, x, e in zip(rows, parts[0], ends, strict=True)]
+        yield _batch([*out, (None, None, squeeze(sums[0]), squeeze(sums[1]), squeeze(sums[2]))])
+
+
+def _chunk_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
+    """Each chunk's row with the answers to it, from rows sorted by chunk, its row last."""
+    chunk, answers = None, []
     for batch in batches:
         for r in batch.to_pylist():
             if r["chunk"] != chunk:
-                chunk, answers = r["chunk"], {}
+                chunk, answers = r["chunk"], []
             if r["bucket"] is None:
-                yield _scored(r, answers, *given)
+                yield r, answers
             else:
-                answers[r["bucket"]] = r["b"]
+                answers.append(r)
+
+
+def _asked_pairs(batches: Iterator[pa.RecordBatch], buckets: int, root: Root) -> Iterator[pa.RecordBatch]:
+    """The pairs of each chunk, dealt to buckets."""
+    for r, answers in _chunk_runs(batches):
+        t = _texts(r, {x["bucket"]: x["a"] for x in answers}, buckets, root)
+        rows = _pairs(t, buckets, root).rows(r["chunk"])
+        if rows:
+            yield _batch(rows)
+
+
+def _asked_branches(batches: Iterator[pa.RecordBatch], buckets: int, root: Root, hot: np.ndarray, hot_rest: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """For each chunk: what its texts score so far (bucket null), and their contexts of two and three words, dealt to buckets."""
+    for r, answers in _chunk_runs(batches):
+        t = _texts(r, {x["bucket"]: x["a"] for x in answers if x["a"] is not None}, buckets, root)
+        pairs = _pairs(t, buckets, root)
+        own = {x["bucket"]: x for x in answers if x["a"] is None}
+        used = np.unique(pairs.bucket).tolist()
+        kept = np.concatenate([np.zeros(0, np.uint8), *(spread(own[b]["b"], np.uint8) for b in used)]).astype(bool)
+        value = np.concatenate([np.zeros(0, np.float32), *(spread(own[b]["c"], np.float32) for b in used)]).astype(np.float64)
+        if len(hot) and len(value):
+            place = np.minimum(np.searchsorted(hot, pairs.context), len(hot) - 1)
+            common = (hot[place] == pairs.context) & ~kept
+            value[common] = hot_rest[place[common]]
+        # The score of each position in contexts of one word, and whether its symbol is kept there.
+        score, told, at = t.root[t.symbol].copy(), np.zeros(len(t.symbol), bool), np.flatnonzero(pairs.of >= 0)
+        e = pairs.of[at]
+        told[at] = kept[e]
+        score[at] = np.where(kept[e], value[e], score[at] + value[e])
+        branches = _branches(t, score, told, buckets)
+        grown = np.flatnonzero(branches.of >= 0)
+        doc = lambda x: np.bincount(t.doc, weights=x, minlength=len(t.ids))
+        head = np.r_[t.ids, t.held, t.valid, t.n_words + 1, doc(t.count[t.symbol] > 0).round().astype(np.int64)].astype(np.int64)
+        rows = [(r["chunk"], None, squeeze(head), squeeze(np.r_[doc(t.root[t.symbol]), doc(score)]), squeeze(t.doc[grown].astype(np.int32)), squeeze(branches.of[grown].astype(np.int32)))]
+        yield _batch([*rows, *branches.rows(r["chunk"])])
 
 
-def score(docs: DataFrame, modulus: int = 7, held: int = 2, depth: int = DEPTH, least: float = LEAST) -> DataFrame:
+@dataclass
+class Branches(Entries):
+    longer: np.ndarray
+
+    def contexts(self, a: int, b: int) -> np.ndarray:
+        return np.r_[self.context[a:b], self.longer[a:b]]
+
+
+def _branches(t: Texts, score: np.ndarray, told: np.ndarray, buckets: int) -> Branches:
+    """Contexts of two words, where the second is kept behind the first, and of three; ``longer`` is 0 where there is none."""
+    back = lambda x, k, none: np.concatenate([np.full(min(k, len(x)), none, x.dtype), x[: max(0, len(x) - k)]])
+    one, two = back(told, 1, False), back(told, 2, False)
+    at = np.flatnonzero(one & (t.before >= 0))
+    earlier = back(t.before, 1, -1)  # the word before the word before
+    first, second = t.key[earlier[at]], t.key[t.before[at]]
+    context = mix(first * U64(3) + mix(second)) & _KEY
+    third = back(t.before, 2, -1)[at]
+    more = two[at] & (third >= 0) & (earlier[at] >= 0)
+    longer = np.where(more, mix(t.key[third] * U64(5) + mix(context)) & _KEY, U64(0))
+    symbol = t.key[t.symbol[at]]
+    _, first_of, inverse = np.unique(mix(context ^ mix(longer + U64(7))) + mix(symbol), return_index=True, return_inverse=True)
+    n = np.bincount(inverse, weights=t.train[at], minlength=len(first_of)).astype(np.int32)
+    context, longer, symbol, known = context[first_of], longer[first_of], symbol[first_of], score[at][first_of].astype(np.float32)
+    dealt = (mix(context) % U64(buckets)).astype(np.int64)
+    order = np.lexsort((symbol, longer, context, dealt))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    of = np.full(len(t.symbol), -1, np.int64)
+    of[at] = place[inverse]
+    return Branches(dealt[order], context[order], symbol[order].astype(np.uint32), known[order], n[order], of, longer[order])
+
+
+def _judge_branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What contexts of two and three words add to the score of each entry of a bucket."""
+    for run in bucket_runs(batches):
+        rows = run.to_pylist()
+        both = [spread(r["a"], U64).reshape(2, -1) for r in rows]
+        context, longer = np.concatenate([x[0] for x in both]), np.concatenate([x[1] for x in both])
+        symbol, back, n = (np.concatenate([spread(r[k], kind) for r in rows]) for k, kind in (("b", np.uint32), ("c", np.float32), ("d", np.int32)))
+        kept, value, _ = judged(context, symbol, back, n)
+        score = np.where(kept, value, back + value)
+        at = np.flatnonzero(longer)
+        kept, value, _ = judged(longer[at], symbol[at], score[at], n[at])
+        score[at] = np.where(kept, value, score[at] + value)
+        gain, ends = score - back, np.cumsum([x.shape[1] for x in both]).tolist()
+        yield _batch([(r["chunk"], r["bucket"], squeeze(gain[e - x.shape[1] : e])) for r, x, e in zip(rows, both, ends, strict=True)])
+
+
+def _scored(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.RecordBatch]:
+    for r, answers in _chunk_runs(batches):
+        ids, held, valid, n_tokens, n_known = spread(r["a"], np.int64).reshape(5, -1)
+        base, score = spread(r["b"], np.float64).reshape(2, -1)
+        by_bucket = {x["bucket"]: x["a"] for x in answers}  # chunks alike have the same answers, each of them
+        gain = np.concatenate([np.zeros(0), *(spread(by_bucket[b], np.float64) for b in sorted(by_bucket))])
+        doc, of = spread(r["c"], np.int32), spread(r["d"], np.int32)
+        score = score + np.bincount(doc, weights=gain[of], minlength=len(ids))
+        columns = [pa.array(ids, mask=valid == 0), pa.array(held == 1), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(ids), root.total, np.int64)), pa.array(base), pa.array(score)]
+        yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCORES.split(", ")])
+
+
+def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs`` (doc_id, text).
 
     Learns from the rows whose remainder isn't ``held``. ``base_score`` is the
@@ -300,29 +369,50 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2, depth: int = DEPTH,
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    tasks = shuffle_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(F.col("doc_id"), modulus) == held).alias("held_out"), "text")
-    n_ends = rows.where("not held_out").count()
-    buckets = 4 * tasks
-    coded = written(rows.mapInArrow(lambda it: _encoded(it, buckets), "chunk long, bucket int, a binary, b binary, c binary, d binary"))
-    dealt = coded.where("bucket is not null").select("chunk", "bucket", "a", "b").repartition(tasks, "bucket")
-    merged = written(dealt.mapInArrow(_merged, "chunk long, bucket int, a binary, b binary"))
-    vocabulary = merged.where("chunk is null").select("a", "b")
-    shape = "n long, total long"
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = [np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"n": pa.array([sum(map(len, counts))], pa.int64()), "total": pa.array([sum(int(x.sum()) for x in counts)], pa.int64())})
-
-    n_words, total = vocabulary.select("b").mapInArrow(sums, shape).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
-    total, distinct = total + n_ends, n_words + (n_ends > 0)
-    tree = spark.sparkContext.broadcast(learn(vocabulary, n_ends, depth, least))
-    none = F.lit(None).cast("binary")
-    both = coded.where("bucket is null").union(merged.where("chunk is not null").select("chunk", "bucket", "a", "b", none.alias("c"), none.alias("d")))
-    ready = both.repartition(tasks, "chunk").sortWithinPartitions("chunk", F.col("bucket").asc_nulls_last())
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _answered(batches, buckets, tree.value, n_ends, total, distinct)
-
-    return ready.mapInArrow(answer, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    ends, size = rows.agg(F.count_if(~F.col("held_out")), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    buckets = -(-size // BUCKET_BYTES) or 1
+    tasks = min(buckets, shuffle_partitions(spark))
+
+    def by_bucket(df: DataFrame) -> DataFrame:
+        return df.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+
+    def by_chunk(*parts: DataFrame) -> DataFrame:
+        both = parts[0]
+        for part in parts[1:]:
+            both = both.union(part)
+        return both.repartition(tasks, "chunk").sortWithinPartitions("chunk", F.col("bucket").asc_nulls_last())
+
+    def told(df: DataFrame, *kinds: type) -> list[list[np.ndarray]]:
+        """What buckets report of contexts that are dealt out by symbol: at most 100,000 of them."""
+        found = df.where("chunk is null and octet_length(a) > 8").select("a", "b", "c").collect()
+        return [[spread(bytes(r[i]), kind) for i, kind in enumerate(kinds)] for r in found]
+
+    coded = written(rows.mapInArrow(lambda it: _encoded(it, buckets), ROWS))
+    texts = coded.where("bucket is null")
+    counts = written(by_bucket(coded.where("bucket is not null")).mapInArrow(_counted, ROWS))
+    distinct, total = counts.agg(F.coalesce(F.sum("x"), F.lit(0)), F.coalesce(F.sum("y"), F.lit(0))).first()
+    total, distinct = total + ends, distinct + (ends > 0)
+    common = told(counts.where(F.col("y") >= HOT), U64, np.int64)
+    hot = sorted((int(k), int(n)) for x in common for k, n in zip(*x, strict=True) if n >= max(HOT, HOT_SHARE * total))
+    root = Root(total, distinct, ends, np.array([k for k, _ in hot], U64), np.array([n for _, n in hot], np.int64))
+
+    answers = counts.where("chunk is not null")
+    asked = by_bucket(by_chunk(texts, answers).mapInArrow(lambda it: _asked_pairs(it, buckets, root), ROWS))
+    pairs = written(asked.mapInArrow(lambda it: _judge_pairs(it, root), ROWS))
+    hot_keys, hot_rest = _hot_sums(told(pairs, U64, np.float64, np.float64) if hot else [])
+
+    grown = by_chunk(texts, answers, pairs.where("chunk is not null")).mapInArrow(lambda it: _asked_branches(it, buckets, root, hot_keys, hot_rest), ROWS)
+    grown = written(grown)
+    gains = by_bucket(grown.where("bucket is not null")).mapInArrow(_judge_branches, ROWS)
+    return by_chunk(grown.where("bucket is null"), gains).mapInArrow(lambda it: _scored(it, root), SCORES)
+
+
+def _hot_sums(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts dealt out by symbol, sorted, and the factor on the suffix's probability at each."""
+    if not parts:
+        return np.zeros(0, U64), np.zeros(0)
+    keys, mass, lost = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    unique, of = np.unique(keys, return_inverse=True)
+    add = lambda x: np.bincount(of, weights=x, minlength=len(unique))
+    return unique, _rest(add(mass), add(lost))
