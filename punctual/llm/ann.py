@@ -8,8 +8,8 @@ share of their neighbours.
 
 Equal vectors are one entry with their smallest ids, so copies cost nothing.
 Neighbouring leaves make up blocks of bounded size, and large leaves are cut; a
-block meets the queries that visit any of its leaves in one task, which hands on
-the nearest few of each query.
+block meets the queries that visit any of its leaves, in portions of bounded
+size; a task hands on the nearest few of each query.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.llm.common import shuffle_partitions, written
+from punctual.llm.common import shuffle_partitions, small, written
 
 #: Vectors that the tree is fitted on, at most; branches of a node; rows that a leaf should get.
 SAMPLE, BRANCHES, LEAF = 20_000, 8, 200
@@ -32,8 +32,8 @@ SAMPLE, BRANCHES, LEAF = 20_000, 8, 200
 LEAST = 16
 #: Calibration queries, and the share of their neighbours that must be found.
 PROBES, RECALL = 200, 0.97
-#: Rows of a block that one task holds.
-BLOCK = 2048
+#: Rows of a block, and queries, that one task holds.
+BLOCK, ASKED = 2048, 4096
 FAN = 1000
 
 
@@ -223,7 +223,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, recall: float = RE
     n_entries = entries.count()
 
     draw = F.pmod("h1", F.lit(1 << 40)) / (1 << 40)
-    sample = entries.where(draw < SAMPLE / n_entries).select("vid", "v").limit(2 * SAMPLE).toPandas().sort_values("vid")
+    sample = entries.where(draw < SAMPLE / n_entries).select("vid", "v").orderBy("vid").limit(2 * SAMPLE).toPandas().sort_values("vid")
     fitted = unit(np.stack(sample["v"].to_list())) if len(sample) else np.zeros((0, length.d))
     root, n_leaves = grow(fitted, max(1, round(LEAF * len(fitted) / max(1, n_entries))))
     tree = spark.sparkContext.broadcast(root)
@@ -261,10 +261,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, recall: float = RE
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(numbers, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))], names=["qid", "q", "block", "leaves"])
 
     asked = entries.where("asked").select(F.col("vid").alias("qid"), F.col("v").alias("q")).repartition(shuffle_partitions(spark))
-    asked = asked.mapInArrow(probes, "qid long, q array<double>, block long, leaves array<long>")
+    asked = written(asked.mapInArrow(probes, "qid long, q array<double>, block long, leaves array<long>"))
+    # A block that many queries visit stands once for each portion of them.
+    portions = written(asked.groupBy("block").agg(F.ceil(F.count("*") / ASKED).alias("portions")))
+    portions = small(portions, portions.count())
+    part = F.pmod(F.xxhash64("qid"), F.col("portions"))
+    asked = asked.join(portions, "block").withColumn("part", part).drop("portions")
     places = spark.createDataFrame([(leaf, first, own) for leaf, (first, own) in blocks.items()], "leaf long, first long, own long")
     held = index.join(F.broadcast(places), "leaf").select("vid", "v", "leaf", (F.col("first") + F.pmod(F.xxhash64("vid"), F.col("own"))).alias("block"))
-    found = asked.groupBy("block").cogroup(held.groupBy("block")).applyInPandas(lambda q, x: _search(q, x, k + 1), "qid long, vid long, score double")
+    held = held.join(portions, "block").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") - 1))).drop("portions")
+    found = asked.groupBy("block", "part").cogroup(held.groupBy("block", "part")).applyInPandas(lambda q, x: _search(q, x, k + 1), "qid long, vid long, score double")
     near = written(_ranked(found, "qid", k + 1).select("qid", "vid", "score"))
     # Entries stand for all their ids, and a query's own id is no candidate.
     spread = near.join(entries.select("vid", "ids"), "vid").select("qid", "score", F.explode("ids").alias("vid"))
@@ -279,7 +285,7 @@ def _calibrated(entries: DataFrame, index: DataFrame, root: Node, n_entries: int
     if n_leaves == 1:
         return 1
     draw = F.pmod("h2", F.lit(1 << 40)) / (1 << 40)
-    probes = entries.where(draw < PROBES / n_entries).select("vid", "v").limit(2 * PROBES).toPandas().sort_values("vid")
+    probes = entries.where(draw < PROBES / n_entries).select("vid", "v").orderBy("vid").limit(2 * PROBES).toPandas().sort_values("vid")
     if not len(probes):
         return n_leaves
     qid, q = probes["vid"].to_numpy(), np.stack(probes["v"].to_list()).astype(np.float64)

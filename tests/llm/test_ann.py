@@ -38,6 +38,7 @@ def found(spark, rows, step, **options):
 def test_recall_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(ann, "LEAF", 40)
     monkeypatch.setattr(ann, "BLOCK", 16)
+    monkeypatch.setattr(ann, "ASKED", 8)
     rows = vectors(1500)
     got, want = found(spark, rows, 10), brute(rows, 10)
     assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
