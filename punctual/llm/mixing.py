@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.llm.common import written
+from punctual.llm.common import small, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, LIMIT, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, "mix"
@@ -53,8 +53,9 @@ def plan(docs: DataFrame, key: str = "doc_id", weights: tuple[float, ...] = WEIG
     A size is the number of words of the text (null: 0), ``taken`` the words that
     the copies hold. A null source is a source of its own, the last. Sources
     without words have target 0 and no copies. Documents are ordered within a
-    source by the root of their size, a digest of their key and the key, so
-    reruns agree; rows alike in all of these are interchangeable. Columns of the
+    source by the root of their size, a digest of their key (of their size, if
+    they have none) and the key, so reruns agree; rows alike in all of these are
+    interchangeable. Columns of the
     input named like the new ones are replaced.
     """
     size = size_of(F.col("text")) if "text" in docs.columns else F.col("size")
@@ -63,19 +64,26 @@ def plan(docs: DataFrame, key: str = "doc_id", weights: tuple[float, ...] = WEIG
     rows = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(docs.columns)], "source", F.col(key).cast("string").alias("key"), size.alias("words"))
     rows = rows.withColumn("sk", key_of)
     slim = written(rows.select("source", "sk", "key", "words"))  # texts are read once for all statistics
-    counted = written(slim.groupBy("source").agg(F.sum("words").alias("source_size"), F.count("*").alias("n_docs")))
+    counted = written(slim.groupBy("source").agg(F.sum("words").alias("source_size")))
     shares = targets(counted.select("source", "source_size"), weights, share, limit)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce("source", F.lit("\0")))), 1, 8), 16, 10).cast("double") / float(1 << 32)
     shares = written(shares.select(key_of.alias("sk"), "source_size", "target", rate.alias("rate"), offset.alias("offset")))
 
     # Rank within the source, block by block: a block is a stretch of the order, small however large the source.
-    most = counted.agg(F.max("n_docs")).first()[0] or 0
-    digits = min(8, len(f"{most // BLOCK:x}"))
+    def stretched(df: DataFrame) -> DataFrame:
+        return df.drop("source").withColumn("stretch", F.floor(F.sqrt("words")).cast("long"))
+
+    tall = stretched(slim).groupBy("sk", "stretch").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    tall = written(tall)
+    tall = small(tall, tall.count(), tall.agg(F.coalesce(F.sum(F.octet_length("sk") + 24), F.lit(0))).first()[0])
 
     def placed(df: DataFrame) -> DataFrame:
-        df = df.drop("source").withColumn("stretch", F.floor(F.sqrt("words")).cast("long")).withColumn("digest", F.md5(F.coalesce("key", F.lit(""))))
-        return df.withColumn("part", F.substring("digest", 1, digits))
+        """Blocks in the order of the digest; documents without key go by their size, so that they are told apart as far as it matters."""
+        df = stretched(df).join(tall, ["sk", "stretch"])
+        df = df.withColumn("digest", F.md5(F.coalesce("key", F.concat(F.lit("?"), F.col("words").cast("string")))))
+        share = F.conv(F.substring("digest", 1, 8), 16, 10).cast("double") / float(1 << 32)
+        return df.withColumn("part", F.floor(share * F.col("parts"))).drop("parts")
 
     block = ["sk", "stretch", "part"]
     ahead = Window.partitionBy("sk").orderBy("stretch", "part").rowsBetween(Window.unboundedPreceding, -1)

@@ -46,7 +46,7 @@ WITH docs AS (
   SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
     ('0x' || substr(md5('mix' || coalesce(source, chr(0))), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS off FROM targets
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY floor(sqrt(size)), md5(coalesce(doc_id::VARCHAR, '')), doc_id::VARCHAR NULLS LAST) AS rk FROM docs
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY floor(sqrt(size)), md5(coalesce(doc_id::VARCHAR, '?' || size)), doc_id::VARCHAR NULLS LAST) AS rk FROM docs
 )
 SELECT d.doc_id, d.size, r.source_size, r.target,
   ((floor(rate * rk + off) - floor(rate * (rk - 1) + off)) * d.size)::BIGINT AS taken

@@ -50,3 +50,10 @@ def test_reruns_agree_and_copies_come_out(spark):
 
 def test_empty_table(spark):
     assert mixing.plan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_documents_without_id_are_spread_and_reruns_agree(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 20)
+    docs = spark.createDataFrame([(None, " ".join(["w"] * (i % 60)), "a" if i % 3 else None, "") for i in range(900)], SCHEMA)
+    runs = [sorted(map(str, mixing.plan(docs.repartition(n)).select("source", "size", "taken").collect())) for n in (1, 5)]
+    assert runs[0] == runs[1]
