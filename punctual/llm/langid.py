@@ -142,10 +142,10 @@ def sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, size: int = SAMPLE_BYTES)
     counts = written(docs.groupBy("lang").agg(F.count("*").alias("n")))
     texts = min(texts, max(1, SAMPLE_ROWS * 2 // 3 // max(1, counts.count())))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / (1 << 40)
-    rated = docs.join(counts, "lang").where(draw * F.col("n") < texts)
+    rated = docs.withColumn("draw", draw).join(counts, "lang").where(F.col("draw") * F.col("n") < texts)
     room = F.greatest(F.length("text") - size, F.lit(0)) + 1
     start = (F.pmod(F.xxhash64("text", F.lit(1)), room) + 1).cast("int")
-    rows = rated.select("lang", F.substring(F.col("text"), start, F.lit(size)).alias("text")).limit(SAMPLE_ROWS).collect()
+    rows = rated.select("draw", "lang", F.substring(F.col("text"), start, F.lit(size)).alias("text")).orderBy("draw", "lang", "text").limit(SAMPLE_ROWS).collect()
     rows = sorted((r.text.encode()[:size], r.lang) for r in rows)
     return [t for t, _ in rows], [x for _, x in rows]
 

@@ -134,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2) ->
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 40)) / (1 << 40)
     rate = F.when(F.col("quality") == 1, SAMPLE_TEXTS / counts[1]).otherwise(SAMPLE_TEXTS / counts[0])
     bounded_batches(docs.sparkSession)
-    chosen = written(ids.where(draw < rate).distinct().limit(4 * SAMPLE_TEXTS))
+    chosen = written(ids.where(draw < rate).distinct().orderBy(draw, "doc_id").limit(4 * SAMPLE_TEXTS))
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     found = texts.mapInArrow(lambda it: _described(it, None), "doc_id long, quality int, value array<double>").collect()
     found = sorted((r.doc_id, r.quality, r.value) for r in found)

@@ -41,3 +41,17 @@ def test_pairs_give_back_a_known_order():
     good = x @ w > 0.3
     s = quality.bradley_terry(x[good], x[~good])
     assert np.corrcoef(s.raw(x), x @ w)[0, 1] > 0.98
+
+
+def test_threshold_is_the_quantile_of_the_rejected_share(spark):
+    # Labels with noise: the scores of good and bad texts overlap, and as many fall below the line as the labels reject.
+    docs, _, truth = rows(900)
+    rng = np.random.default_rng(8)
+    labels = {i: int(truth[i] if rng.random() < 0.85 else not truth[i]) for i in range(900) if i % 3}
+    got = quality.score(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(i, q, 0) for i, q in labels.items()], LABELS)).collect()
+    train = [r for r in got if not r.held_out and r.doc_id in labels]
+    rejected = sum(1 - labels[r.doc_id] for r in train)
+    below = sum(1 - r.predicted for r in train)
+    assert rejected > 50 and abs(below - rejected) <= 3
+    ranked = sorted(train, key=lambda r: r.score)
+    assert all(a.predicted <= b.predicted for a, b in zip(ranked, ranked[1:], strict=False))
