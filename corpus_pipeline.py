@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from punctual.llm import decontaminate, langid, minhash, mixing, substring
 from punctual.llm.common import small, table, written
 
-#: Share of the languages' probability below which a text has no language.
-LEAST_SURE = 0.3
+#: How much likelier than by chance a text's language must be; with one language to choose from, all texts have it.
+OVER_CHANCE = 1.2
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: no text, no letter or no language likelier than LEAST_SURE, and they go."""
-    return langid.accepted(docs, langid.fit(docs), LEAST_SURE)
+    """Documents in a known language: no text, no letter or no language clearly likelier than by chance, and they go."""
+    net = langid.fit(docs)
+    n = len(net.langs) if net else 0
+    return langid.accepted(docs, net, OVER_CHANCE / n if n > 1 else 0.0)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,29 +36,52 @@ def _number(column: str, kind: str) -> Column:
     return (F.unix_micros(F.col(column).cast("timestamp")) / 1e6) if kind.startswith("timestamp") else F.col(column).cast("double")
 
 
+#: Rows up to which a table is broadcast, or put in order by one task.
+FEW = 100_000
+
+
+def few(df: DataFrame, rows: int = FEW) -> bool:
+    """Does the table have so few rows? No more than that many are counted."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def bounded(df: DataFrame, rows: int = FEW) -> DataFrame:
+    """The table, marked for broadcasting if it has so few rows; Spark joins by other means beyond."""
+    return F.broadcast(df) if few(df, rows) else df
+
+
 def as_of(left: DataFrame, right: DataFrame, at: str, since: str, value: str, out: str, stretches: int = 256) -> DataFrame:
     """``out``: the value of the right row with the latest ``since`` up to ``at``; of the earliest one if none.
 
-    Moments and right rows are united and dealt into stretches of time; each is
-    sorted and scanned by itself, and starts with the last value of the stretches
-    before. No pair of a moment and an older row is made, and no task holds all
-    moments. ``at`` must be unique in the left.
+    Of right rows with one ``since`` the largest value counts; moments may
+    repeat and may be null (then the earliest value is borrowed). Moments and
+    right rows are united in time. If they are few, one task puts them in order;
+    else they are dealt into stretches, each scanned by itself, and a stretch
+    starts with the last value of those before. No pair of a moment and an older
+    row is made.
     """
-    kind = left.schema[at].dataType.simpleString()
+    kind, right = left.schema[at].dataType.simpleString(), right.where(F.col(since).isNotNull())
     first = right.agg(F.min(F.struct(since, value))[value].alias("_first"))
     marks = right.groupBy(F.col(since).alias("_t")).agg(F.max(value).alias("_v"), F.lit(None).cast(kind).alias("_at"))
-    moments = left.select(F.col(at).alias("_t"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.col(at).alias("_at"))
-    both = marks.unionByName(moments).withColumn("_n", _number("_t", kind))
-    span = both.agg(F.min("_n").alias("_lo"), F.greatest(F.max("_n") - F.min("_n"), F.lit(1e-9)).alias("_width"))
-    both = both.crossJoin(F.broadcast(span)).withColumn("_b", F.floor((F.col("_n") - F.col("_lo")) / F.col("_width") * stretches))
-    w = Window.partitionBy("_b").orderBy("_t", F.col("_at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    seen = both.withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_at is not null")
-    ends = both.where("_v is not null").groupBy("_b").agg(F.max_by("_v", "_t").alias("_end"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row for each stretch
-    carried = left.sparkSession.range(stretches + 1).withColumnRenamed("id", "_b").join(ends, "_b", "left").select("_b", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
-    known = F.coalesce("_v", "_carried")
-    found = seen.join(F.broadcast(carried), "_b").crossJoin(F.broadcast(first)).select(F.col("_at").alias(at), F.coalesce(known, F.col("_first")).alias(out), known.isNull().alias(f"{out}_borrowed"))
-    return left.join(found, at, "left")
+    moments = left.where(F.col(at).isNotNull()).select(F.col(at).alias("_t"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.col(at).alias("_at")).distinct()
+    both = marks.unionByName(moments)
+    order = ["_t", F.col("_at").asc_nulls_first()]
+    if few(both):
+        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        seen = both.withColumn("_known", F.last("_v", ignorenulls=True).over(w)).where("_at is not null")
+    else:
+        both = both.withColumn("_n", _number("_t", kind))
+        span = both.agg(F.min("_n").alias("_lo"), F.greatest(F.max("_n") - F.min("_n"), F.lit(1e-9)).alias("_width"))
+        both = both.crossJoin(F.broadcast(span)).withColumn("_b", F.floor((F.col("_n") - F.col("_lo")) / F.col("_width") * stretches))
+        w = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        ends = both.where("_v is not null").groupBy("_b").agg(F.max_by("_v", "_t").alias("_end"))
+        before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row for each stretch
+        carried = left.sparkSession.range(stretches + 1).withColumnRenamed("id", "_b").join(ends, "_b", "left").select("_b", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+        seen = both.withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_at is not null")
+        seen = seen.join(F.broadcast(carried), "_b").withColumn("_known", F.coalesce("_v", "_carried"))
+    found = seen.select(F.col("_at").alias(at), "_known")
+    joined = left.join(found, at, "left").crossJoin(F.broadcast(first))
+    return joined.select(*left.columns, F.coalesce("_known", "_first").alias(out), F.col("_known").isNull().alias(f"{out}_borrowed"))
 
 
 def known_unpivot(df: DataFrame, keys: list[str], columns: list[str], name: str = "measure", value: str = "value") -> DataFrame:
@@ -67,9 +90,13 @@ def known_unpivot(df: DataFrame, keys: list[str], columns: list[str], name: str
 
 
 def weighted_quantiles(df: DataFrame, keys: list[str], value: str, weight: str, shares: dict[str, float]) -> DataFrame:
-    """The mean, and the smallest values whose cumulative weight reaches each share."""
+    """The mean, and the smallest values whose cumulative weight reaches each share.
+
+    Weights are summed by value first, so only distinct values are put in order.
+    """
     w = Window.partitionBy(*keys)
     ordered = w.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = df.groupBy(*keys, value).agg(F.sum(weight).alias(weight))
     cumulative = df.withColumn("_below", F.sum(weight).over(ordered)).withColumn("_total", F.sum(weight).over(w))
     quantiles = [F.min(F.when(F.col("_below") >= s * F.col("_total"), F.col(value))).alias(n) for n, s in shares.items()]
     return cumulative.groupBy(*keys).agg((F.sum(F.col(value) * F.col(weight)) / F.sum(weight)).alias("mean"), *quantiles)
@@ -105,10 +132,10 @@ def grid_band_join(left: DataFrame, right: DataFrame, axes: list[tuple[str, str,
 def nearest_one(left: DataFrame, right: DataFrame, key: list[str], distance: Column, columns: list[str]) -> DataFrame:
     """Of each left row, the columns of the right row at the least distance (ties: least columns).
 
-    ``right`` must be a small reference table: every row of it meets every left
-    row, and is broadcast.
+    ``right`` is a reference table of few rows: every row of it meets every left
+    row. It is broadcast if it has as few as it should.
     """
-    pairs = left.crossJoin(F.broadcast(right)).withColumn("_d", distance)
+    pairs = left.crossJoin(bounded(right)).withColumn("_d", distance)
     best = pairs.groupBy(*key).agg(F.min(F.struct("_d", *columns)).alias("_b"))
     return left.join(best.select(*key, F.col("_b._d").alias("distance"), *[F.col(f"_b.{c}").alias(c) for c in columns]), key, "left")
 

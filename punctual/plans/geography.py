@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from punctual.functions.aggregates import count_where, ratio
 from punctual.functions.geo import bounds, closest_point, edges, haversine, meets
-from punctual.operators.relational import grid_band_join, nearest_one
+from punctual.operators.relational import bounded, grid_band_join, nearest_one
 
 #: Degrees of a grid cell. Fixed values of the build: the clip, reaches and limits.
 CELL = 0.02
@@ -62,7 +62,7 @@ def stop_nearest_block(stops: DataFrame, inside: DataFrame, blocks: DataFrame) -
     """
     left = stops.join(inside, "stop_id", "left_anti")
     shapes = blocks.select(*AREA, edges(F.col("geom")).alias("edges"))
-    near = shapes.crossJoin(F.broadcast(left)).withColumn("p", closest_point(F.col("edges"), F.col("stop_lon"), F.col("stop_lat")))
+    near = shapes.crossJoin(bounded(left)).withColumn("p", closest_point(F.col("edges"), F.col("stop_lon"), F.col("stop_lat")))
     best = near.groupBy("stop_id", "stop_lat", "stop_lon").agg(F.min(F.struct(F.col("p.d").alias("d"), *AREA, F.col("p.x").alias("px"), F.col("p.y").alias("py"))).alias("b"))
     return best.select("stop_id", *[F.col(f"b.{c}").alias(c) for c in AREA], haversine(F.col("b.py"), F.col("b.px"), F.col("stop_lat"), F.col("stop_lon")).alias("distance_m"))
 

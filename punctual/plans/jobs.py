@@ -6,15 +6,18 @@ partitions it owes and nothing else.
 
 from __future__ import annotations
 
+import json
 import resource
 import sys
 import uuid
-from datetime import UTC, date, datetime
+from collections.abc import Callable
+from datetime import UTC, date, datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.functions.timeline import expected_hours, hours_to_compact, partition_bounds, snapshot_label
+from punctual.functions.timeline import expected_hours, hours_to_compact, last_complete_day, partition_bounds, snapshot_label
 from punctual.operators.reducers import first_positions, position_conflicts, reduce_calls, reduce_trips
 from punctual.plans import checks, merge
 from punctual.session import ensure
@@ -132,15 +135,50 @@ def merge_day(spark: SparkSession, root: str, day: date, tables: tuple[str, ...]
     return out
 
 
-def replay(spark: SparkSession, raw: str, root: str, days: list[date], now: datetime) -> list[dict]:
-    """Compact and merge closed days again; an open one is refused."""
-    from punctual.functions.timeline import last_complete_day
+#: How long a replay's finished steps are trusted, and failures after which it stops.
+TRUSTED, MOST_FAILURES = timedelta(days=2), 3
 
+
+def replay(spark: SparkSession, raw: str, root: str, days: list[date], now: datetime, log: str | None = None) -> list[dict]:
+    """Compact and merge closed days again; an open one is refused.
+
+    With a ``log``, a file of finished steps, a replay that was cut short goes on
+    where it stopped; steps logged more than two days ago are done again. A step
+    that fails is logged with its error and the others go on; the third failure
+    raises. A day is merged only if its hours were compacted.
+    """
     late = [d for d in days if d > last_complete_day(now)]
     if late:
         raise ValueError(f"not closed yet: {late[0]}")
-    compact(spark, raw, root, hours_to_compact(days))
-    return [merge_day(spark, root, d) for d in days]
+    done = _finished(log, now) if log else set()
+    failures: list[Exception] = []
+
+    def step(name: str, work: Callable[[], object]) -> object:
+        if name in done:
+            return None
+        try:
+            out, error = work(), None
+        except Exception as e:  # noqa: BLE001 - logged, and raised once there are too many
+            out, error = None, f"{type(e).__name__}: {e}"
+            failures.append(e)
+        if log:
+            with open(log, "a") as f:
+                f.write(json.dumps({"step": name, "at": now.isoformat(), "error": error}) + "\n")
+        if error and (len(failures) >= MOST_FAILURES or not log):
+            raise failures[-1]
+        return out
+
+    hours = hours_to_compact(days)
+    step(f"compact {hours[0]:%Y-%m-%dT%H} to {hours[-1]:%Y-%m-%dT%H}", lambda: compact(spark, raw, root, hours))
+    return [] if failures else [x for x in (step(f"merge {d.isoformat()}", lambda d=d: merge_day(spark, root, d)) for d in days) if x is not None]
+
+
+def _finished(log: str, now: datetime) -> set[str]:
+    if not Path(log).exists():
+        return set()
+    records = [json.loads(line) for line in Path(log).read_text().splitlines() if line.strip()]
+    last = {r["step"]: r for r in records}  # of a step that was done again the last record counts
+    return {n for n, r in last.items() if r["error"] is None and now - datetime.fromisoformat(r["at"]) <= TRUSTED}
 
 
 def load_schedule(spark: SparkSession, bundle_path: str, root: str, now: datetime, last_sha256: str | None = None) -> dict:

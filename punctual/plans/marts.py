@@ -7,16 +7,26 @@ Nothing runs until a view is used. ``call_observation`` feeds three other views;
 
 from __future__ import annotations
 
+import json
 from datetime import date
 from functools import cached_property
+from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from punctual.functions.aggregates import count_where, excess_wait, last_known, ratio, sum_where
 from punctual.functions.geo import haversine
 from punctual.functions.timeline import clock_seconds, compact_day, elapsed, label_instant, local_date, rounded, seconds, service_hour, trip_instant
 from punctual.operators.relational import current_vintage, expand_days, flagged_by, known_unpivot, latest_per_key, newest, weighted_quantiles
+from punctual.session import ensure
+from punctual.sources import files
+
+#: Fixed layout of a pulled copy: snapshots keep their label from the path, facts and vintages have theirs in the files.
+SNAPSHOTS = ("dim_route", "dim_trip", "dim_stop", "dim_calendar", "dim_calendar_dates", "dim_scheduled_stop_time")
+FACTS, REFERENCE = ("fact_trip", "fact_trip_stop"), ("stop_geography", "stop_meshblock")
+EXTRAS = {"dim_agency_all": "curated/dim_agency", "fact_collector_run": "curated/fact_collector_run"}
+SEED = "start_date date, end_date date, exclusion_type string, reason string, source string"
 
 #: Fixed values of the domain.
 FIRST_DAY = date(2026, 9, 17)
@@ -36,6 +46,40 @@ class Marts:
     def __init__(self, tables: dict[str, DataFrame]) -> None:
         self.tables = tables
         self.spark = next(iter(tables.values())).sparkSession
+        self.source: dict | None = None
+
+    @classmethod
+    def over(cls, spark: SparkSession, root: str, seeds: list[str]) -> Marts:
+        """The views over a pulled copy, ``root`` holding curated/ and reference/; a required table that isn't there raises."""
+        ensure(spark)
+        folders = {**{f"{n}_all": f"curated/{n}" for n in SNAPSHOTS}, **{n: f"curated/{n}" for n in FACTS}, **{f"{n}_all": f"reference/{n}" for n in REFERENCE}}
+        missing = [f for f in folders.values() if not files.exists(spark, f"{root}/{f}")]
+        if missing:
+            raise FileNotFoundError(f"not in {root}: {', '.join(missing)}")
+        extra = {n: f for n, f in EXTRAS.items() if files.exists(spark, f"{root}/{f}")}
+        labelled = lambda n: n in extra or n.removesuffix("_all") in SNAPSHOTS
+        tables = {n: (files.read_snapshots if labelled(n) else files.read_facts)(spark, f"{root}/{f}") for n, f in (folders | extra).items()}
+        tables["calendar_exclusion_seed"] = files.read_seed(spark, seeds, SEED)
+        out = cls(tables)
+        out.source = {"root": root, "seeds": seeds}
+        return out
+
+    def write_catalogue(self, path: str) -> None:
+        """A file that names the copy and each view with its columns, in place of any before it; ``open_catalogue`` reads it."""
+        if self.source is None:
+            raise ValueError("only views over a pulled copy can be catalogued")
+        views = {v: ", ".join(f"{c} {t}" for c, t in getattr(self, v).dtypes) for v in view_names()}
+        Path(path).write_text(json.dumps({**self.source, "views": views}, indent=1))
+
+    @classmethod
+    def open_catalogue(cls, spark: SparkSession, path: str) -> Marts:
+        """The catalogue's views and tables by name in this session, lazy as ever."""
+        kept = json.loads(Path(path).read_text())
+        out = cls.over(spark, kept["root"], kept["seeds"])
+        out.register(*kept["views"])
+        for name, df in out.tables.items():
+            df.createOrReplaceTempView(name)
+        return out
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -48,7 +92,7 @@ class Marts:
 
     def register(self, *views: str) -> None:
         """Views by name for SQL; all of them without names."""
-        for view in views or [k for k, v in vars(Marts).items() if isinstance(v, cached_property)]:
+        for view in views or view_names():
             getattr(self, view).createOrReplaceTempView(view)
 
     @cached_property
@@ -376,3 +420,8 @@ class Marts:
     def daily_ran_share(self) -> DataFrame:
         """Percent of trips that ran, by day."""
         return self.mart_trip.groupBy("service_date").agg((100 * F.avg((F.col("status") == "ran").cast("int"))).alias("ran_percent"))
+
+
+def view_names() -> list[str]:
+    """All views, each after those it is made of."""
+    return [k for k, v in vars(Marts).items() if isinstance(v, cached_property)]

@@ -7,7 +7,6 @@ was compacted is.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -19,9 +18,13 @@ WAIT = "10 minutes"
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share; a local one only where none is set."""
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="punctual-")
-    return os.path.join(root, uuid.uuid4().hex)
+    """A new path in the folder that all executors share; a folder of this machine only where Spark runs on it alone."""
+    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="punctual-")
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def to_end(df: DataFrame, mode: str = "append") -> DataFrame:

@@ -1,138 +1,107 @@
+import json
+import math
 from datetime import date, datetime
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from punctual.functions.timeline import trip_instant
+from punctual.plans import service
 from punctual.plans.marts import Marts
-from tests.world import A, B, C, tables
-
-TUESDAY = "service_date = '2026-09-22'"
-
-
-@pytest.fixture(scope="module")
-def marts(spark, tmp_path_factory):
-    m = Marts(tables(spark))
-    for view in ("scheduled_call", "call_observation", "mart_stop_hour"):
-        m.freeze(view, str(tmp_path_factory.mktemp("marts") / view))
-    return m
-
-
-def rows(df, *columns, where="true", order=None):
-    df = df.where(where)
-    return [tuple(r) for r in (df.orderBy(*(order or columns[:2]))).select(*columns).collect()]
-
-
-def test_calendar(marts):
-    assert marts.calendar_exclusion.where("exclusion_type = 'school_holiday'").count() == 26 + 12 + 14
-    days = {r.day for r in marts.term_weekday.collect()}
-    assert date(2026, 9, 22) in days and not days & {date(2026, 9, 20), date(2026, 9, 28), date(2026, 10, 5), date(2025, 12, 31)}
-
-
-def test_dimensions(marts):
-    assert rows(marts.ordinary_route, "route_id", order=["route_id"]) == [("r_bus",), ("r_named",), ("r_old",)]
-    assert rows(marts.school_route, "route_short_name") == [("S265",)] and rows(marts.school_trip, "trip_id") == [("t1",)]
-    assert marts.dim_trip.count() == 16 and marts.dim_stop.count() == 3
-    assert rows(marts.period, "service_hour", "period", where="service_hour in (5, 8, 14, 17, 21, 25)") == [(5, "night"), (8, "am_peak"), (14, "inter_peak"), (17, "pm_peak"), (21, "evening"), (25, "night")]
-    assert marts.period.count() == 48
-
-
-def test_snapshots_and_days(marts):
-    assert rows(marts.snapshot, "valid_from", "check_date", "has_trips") == [(A, date(2026, 9, 20), True), (B, date(2026, 9, 22), True), (C, date(2026, 9, 23), False)]
-    assert rows(marts.service_day, "service_date", "stop_time_valid_from", "trip_valid_from", "timetable_borrowed", "day_type") == [
-        (date(2026, 9, 17), A, A, True, "term_weekday"),
-        (date(2026, 9, 20), A, A, False, "sunday"),
-        (date(2026, 9, 22), B, B, False, "term_weekday"),
-        (date(2026, 9, 23), C, B, False, "term_weekday"),
+from tests.world import SCHEMAS, rows, tables
+
+KINDS = {"string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN", "short": "SMALLINT"}
+
+
+def sql_of(seed):
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for name, own in rows(seed).items():
+        columns = [c.split(" ") for c in SCHEMAS[name].split(", ")]
+        con.execute(f"CREATE TABLE {name} ({', '.join(f'{c} {KINDS[t]}' for c, t in columns)})")
+        if own:
+            con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(columns))})", own)
+    return con
+
+
+def plain(value):
+    return None if isinstance(value, float) and math.isnan(value) else float(f"{value:.9g}") if isinstance(value, float) else value
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_views_of_small_networks_match_their_sql(spark, seed, tmp_path):
+    marts, con = Marts(tables(spark, seed)), sql_of(seed)
+    marts.freeze("call_observation", str(tmp_path / "calls"))
+    for name, kinds in service.COLUMNS.items():
+        view, columns = name.split("_", 1)[1], [tuple(c.split(" ")) for c in kinds.split(", ")]
+        want = con.execute(service.twin(view, service.VIEWS, columns)).fetchall()
+        got = service.shown(getattr(marts, view).select(*[c for c, _ in columns])).collect()
+        assert sorted(([plain(x) for x in r] for r in got), key=str) == sorted(([plain(x) for x in r] for r in want), key=str), view
+
+
+def test_the_networks_reach_every_outcome():
+    con = sql_of(1)
+    ctes = ", ".join(f"{n} AS ({s})" for n, s in service.VIEWS.items())
+    ask = lambda sql: {r[0] for r in con.execute(f"WITH {ctes} {sql}").fetchall()}
+    assert ask("SELECT DISTINCT call_status FROM call_observation") == {"observed", "skipped", "cancelled", "no_prediction", "absent"}
+    assert ask("SELECT DISTINCT status FROM mart_trip") == {"ran", "cancelled", "incomplete", "unknown"}
+    assert ask("SELECT DISTINCT timetable_borrowed FROM service_day") == {True, False}
+    assert {-59, -60, 359, 360} <= ask("SELECT DISTINCT delay_s FROM call_observation WHERE is_judged")
+
+
+def pulled(spark, root, seed=1):
+    """A local copy as a pull leaves it."""
+    for name, df in tables(spark, seed).items():
+        if name == "calendar_exclusion_seed":
+            df.coalesce(1).write.option("header", "true").csv(f"{root}/seeds")
+            continue
+        base = name.removesuffix("_all")
+        folder, key = ("reference", "vintage") if base.startswith("stop_") else ("curated", "valid_from" if name.startswith("dim_") else "service_date")
+        part = "valid_from" if key == "valid_from" else f"{key}_folder"
+        df.withColumn(part, F.col(key).cast("string")).write.partitionBy(part).parquet(f"{root}/{folder}/{base}")
+    return f"{root}/seeds"
+
+
+def test_marts_over_a_pulled_folder(spark, tmp_path):
+    root = str(tmp_path)
+    seeds = pulled(spark, root)
+    marts, direct = Marts.over(spark, root, [seeds]), Marts(tables(spark, 1))
+    for view in ("snapshot", "scheduled_call", "mart_trip", "stop_context"):
+        ordered = lambda m, v=view: sorted(map(str, getattr(m, v).select(*sorted(getattr(direct, v).columns)).collect()))
+        assert ordered(marts) == ordered(direct)
+    assert "dim_agency_all" not in marts.tables
+    spark.createDataFrame([("1", "Ferries")], "agency_id string, agency_name string").write.parquet(f"{root}/curated/dim_agency/valid_from=2026-09-17T010000Z")
+    assert Marts.over(spark, root, [seeds])["dim_agency_all"].first().valid_from == "2026-09-17T010000Z"
+
+
+def test_a_catalogue_outlives_its_session(spark, tmp_path):
+    root, path = str(tmp_path), str(tmp_path / "views.json")
+    marts = Marts.over(spark, root, [pulled(spark, root)])
+    (tmp_path / "views.json").write_text("stale")
+    marts.write_catalogue(path)
+    assert set(json.loads((tmp_path / "views.json").read_text())["views"]) == {n.split("_", 1)[1] for n in service.COLUMNS}
+    other = spark.newSession()
+    Marts.open_catalogue(other, path)
+    assert other.sql("SELECT count(*) FROM mart_trip").first()[0] == marts.mart_trip.count() > 0
+    assert other.sql("SELECT count(*) FROM period").first()[0] == 48
+
+
+def test_a_missing_table_is_named(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="curated/dim_route"):
+        Marts.over(spark, str(tmp_path), [])
+
+
+def test_trip_instants_across_the_clock_changes(spark):
+    h = 3600
+    given = [
+        ((2026, 10, 3), 25 * h + 1800, 27 * h + 600, datetime(2026, 10, 3, 17, 10)),  # elapsed over the skipped hour
+        ((2026, 10, 3), 26 * h + 900, 26 * h + 960, datetime(2026, 10, 3, 16, 16)),  # starts within the skipped hour
+        ((2026, 10, 4), 9 * h, 9 * h, datetime(2026, 10, 3, 22, 0)),
+        ((2027, 4, 3), 26 * h + 1800, 27 * h, datetime(2027, 4, 3, 17, 0)),  # starts in the repeated hour: its later reading
+        ((2027, 4, 3), 25 * h, 27 * h, datetime(2027, 4, 3, 16, 0)),  # begins before it and runs on
+        ((2027, 4, 4), 9 * h, 10 * h, datetime(2027, 4, 4, 0, 0)),
     ]
-
-
-def test_spine(marts):
-    trips = lambda day: rows(marts.scheduled_trip, "trip_id", "is_timetabled", where=f"service_date = '{day}'")
-    assert trips("2026-09-20") == [(f"a{i}", True) for i in range(2, 6)]
-    assert trips("2026-09-22") == [*[(t, True) for t in ("k1", "k2", "k3", "k4", "k5", "kd", "kn")], ("ko", False)]
-    assert trips("2026-09-23") == [("ko", True)]
-
-
-def test_scheduled_calls(marts):
-    assert rows(marts.scheduled_call, "scheduled_departure_utc", "service_hour", where=f"{TUESDAY} and trip_id = 'kn' and stop_sequence = 1") == [(datetime(2026, 9, 22, 15, 10), 25)]
-    assert rows(marts.scheduled_call, "stop_sequence", "is_boarding", where=f"{TUESDAY} and trip_id = 'k3'") == [(1, True), (2, False), (3, False)]
-
-
-def statuses(marts, sequence):
-    return dict(rows(marts.call_observation, "trip_id", "call_status", where=f"{TUESDAY} and stop_sequence = {sequence}"))
-
-
-def test_every_call_has_one_status(marts):
-    assert statuses(marts, 1) == {"k1": "observed", "k2": "cancelled", "k3": "observed", "k4": "absent", "k5": "observed", "ko": "observed", "kd": "no_prediction", "kn": "observed"}
-    second = statuses(marts, 2)
-    assert (second["k5"], second["ko"]) == ("cancelled", "skipped") and statuses(marts, 3)["k3"] == "observed"
-    assert marts.call_observation.count() == marts.scheduled_call.count()
-
-
-def test_delays_and_judgement(marts):
-    found = rows(marts.call_observation, "trip_id", "stop_sequence", "delay_s", where=f"{TUESDAY} and trip_id in ('k1', 'k3')")
-    assert found == [("k1", 1, -59), ("k1", 2, 360), ("k1", 3, -120), ("k3", 1, -61), ("k3", 2, 359), ("k3", 3, 30)]
-    judged = rows(marts.call_observation, "trip_id", "is_judged", where=f"{TUESDAY} and ((trip_id = 'k5' and stop_sequence = 1) or (trip_id = 'kn' and stop_sequence = 3))")
-    assert judged == [("k5", True), ("kn", False)]
-
-
-def test_trip_instants_across_a_clock_change(spark):
-    given = [("2026-10-03", 27 * 3600 + 1800, 27 * 3600 + 2700), ("2026-10-03", 25 * 3600 + 1800, 27 * 3600 + 600), ("2026-10-03", 26 * 3600 + 1800, 26 * 3600 + 2400), ("2026-10-04", 8 * 3600, 8 * 3600), ("2026-09-22", 8 * 3600, 8 * 3600 + 600)]
-    df = spark.createDataFrame([(date.fromisoformat(d), a, b) for d, a, b in given], "d date, a int, b int").coalesce(1)
-    assert [r.t for r in df.select(trip_instant(F.col("d"), F.col("a"), F.col("b")).alias("t")).collect()] == [datetime(2026, 10, 3, 16, 45), datetime(2026, 10, 3, 17, 10), datetime(2026, 10, 3, 16, 40), datetime(2026, 10, 3, 21, 0), datetime(2026, 9, 21, 22, 10)]
-
-
-@pytest.mark.parametrize(
-    ("stop", "columns", "values"),
-    [
-        ("s1", "n_scheduled_calls n_observed n_cancelled n_absent n_no_prediction n_skipped n_judged", (7, 4, 1, 1, 1, 0, 4)),
-        ("s1", "n_on_time n_early n_late", (2, 2, 0)),
-        ("s2", "n_judged n_on_time n_late", (2, 1, 1)),
-        ("s3", "n_judged n_on_time n_early", (2, 2, 0)),
-        ("s1", "scheduled_headway_n scheduled_headway_sum_s scheduled_headway_sq_s observed_headway_n observed_headway_sum_s observed_headway_sq_s", (6, 3000, 1_620_000, 3, 2519, 3_028_925)),
-        ("s1", "frequency_band n_bunched bunching_below_precision", ("<=10", 1, False)),
-        ("s2", "scheduled_headway_n n_boarding_calls", (4, 5)),
-    ],
-)
-def test_stop_hours(marts, stop, columns, values):
-    assert rows(marts.mart_stop_hour, *columns.split(), where=f"{TUESDAY} and stop_id = '{stop}' and service_hour = 8") == [values]
-
-
-def test_trips(marts):
-    assert dict(rows(marts.mart_trip, "trip_id", "status", where=TUESDAY)) == {"k1": "ran", "k2": "cancelled", "k3": "ran", "k4": "unknown", "k5": "incomplete", "kd": "unknown", "kn": "incomplete", "ko": "ran"}
-    assert rows(marts.mart_trip, "trip_id", "unjudged_tail_s", where=f"{TUESDAY} and trip_id in ('k1', 'kn')") == [("k1", 0), ("kn", 1500)]
-    assert rows(marts.mart_trip, "trip_id", "ever_canceled", "reported", "first_stop_delay_s", where=f"{TUESDAY} and trip_id in ('k1', 'k3', 'k4')") == [("k1", False, True, -59), ("k3", True, True, -61), ("k4", False, False, None)]
-    assert rows(marts.daily_ran_share, "ran_percent", where=TUESDAY) == [(37.5,)]
-
-
-def test_places(marts):
-    assert rows(marts.stop_context, "walk_population_400m", "walk_population_800m", "straight_population_800m", "n_unrouted_meshblocks_800m", "sa2_code", where="stop_id = 's1'") == [(50, 70, 80, 1, "A1")]
-    assert rows(marts.stop_context, "walk_population_400m", where="stop_id = 's3'") == [(None,)]
-    assert rows(marts.stop_geography_stale, "stop_id") == [("s2",)]
-    assert rows(marts.stop_frequency, "n_departures", "n_routes", where=f"{TUESDAY} and stop_id = 's1' and service_hour = 8") == [(7, 1)]
-
-
-def test_route_context(marts):
-    columns = "n_stops n_calls n_calls_null_seifa irsd_score_call_weighted_mean irsd_score_call_weighted_median irsd_state_decile_min irsd_state_decile_max irsd_quintile_1_call_share irsd_quintile_3_call_share walk_population_800m_call_weighted_mean irsd_quintile_2_call_share"
-    assert rows(marts.route_context, *columns.split(), where="route_id = 'r_bus'") == [(3, 37, 9, 950.0, 900.0, 2, 5, 0.5, 0.5, 70.0, None)]
-
-
-def test_clockface(marts):
-    where = "route_id = 'r_bus' and service_date in ('2026-09-20', '2026-09-22') and period in ('inter_peak', 'am_peak')"
-    assert rows(marts.route_clockface, "period", "n_departures", "headway_min", "is_clockface", where=where, order=["service_date"]) == [("inter_peak", 4, 30, True), ("am_peak", 7, 10, False)]
-
-
-def test_league(marts):
-    found = rows(marts.route_league, "n_trips", "n_ran", "n_cancelled", "n_incomplete", "n_unknown_trips", "sd7_rate", "sd1_on_time_share", "on_time_share", "excess_wait_s", where="route_id = 'r_bus' and period = 'am_peak'")
-    assert found == [(8, 3, 1, 1, 3, 0.25, 0.5, 0.625, pytest.approx(3_028_925 / (2 * 2519) - 3_870_000 / (2 * 5700)))]
-
-
-def test_coverage(marts):
-    assert rows(marts.coverage, "sa2_code", "n_days", "n_calls", "calls_per_day", where="period = 'am_peak' and day_type = 'term_weekday'") == [("A1", 3, 14, 14 / 3), ("B2", 3, 0, 0.0), ("C3", 3, 0, 0.0)]
-    assert marts.coverage.count() == 3 * 5 * 2
-
-
-def test_views_by_name(marts, spark):
-    marts.register()
-    assert spark.sql("select count(*) from route_league").first()[0] > 0
+    df = spark.createDataFrame([(i, date(*d), a, b) for i, (d, a, b, _) in enumerate(given)], "i int, d date, a int, b int")
+    got = df.select("i", trip_instant(F.col("d"), F.col("a"), F.col("b")).alias("t")).orderBy("i").collect()
+    assert [r.t for r in got] == [t for *_, t in given]

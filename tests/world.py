@@ -1,100 +1,83 @@
-"""The miniature world: three snapshots, a handful of trips, every kind of outcome."""
-
-from datetime import date, datetime, timedelta, timezone
-
-LOCAL = timezone(timedelta(hours=10))
-A, B, C = "2026-09-19T173455Z", "2026-09-22T020011Z", "2026-09-22T150000Z"
-
-EXCLUSIONS = [
-    ("2026-01-01", "2026-01-01", "public_holiday", "New Year"),
-    ("2026-01-01", "2026-01-26", "school_holiday", "Summer"),
-    ("2026-06-08", "2026-06-08", "public_holiday", "June"),
-    ("2026-09-28", "2026-10-09", "school_holiday", "Spring"),
-    ("2026-10-05", "2026-10-05", "public_holiday", "October"),
-    ("2026-12-18", "2026-12-31", "school_holiday", "Summer"),
-]
-ROUTES = [
-    ("r_bus", "2459", "400", "", "700", A),
-    ("r_old", "2459", "401", "", "700", A),
-    ("r_bus", "2459", "400", "", "700", B),
-    ("r_school", "2459", "S265", "", "712", B),
-    ("r_named", "2459", "753", "", "700", B),
-    ("r_sw", "7083", "SW1", "", "700", B),
-    ("r_rr", "7051", "BMT1", "", "714", B),
-]
-TRIPS = [("a1", "r_bus", "wk", A), *[(f"a{i}", "r_bus", "x", A) for i in range(2, 6)]]
-TRIPS += [("t1", "r_school", None, B), ("t2", "r_bus", None, B), ("t3", "r_named", None, B)]
-TRIPS += [(t, "r_bus", "x", B) for t in ("k1", "k2", "k3", "k4", "k5", "kd", "kn")] + [("ko", "r_bus", "wk", B)]
-WEEK, ENDS = ("1",) * 5 + ("0",) * 2, ("0",) * 5 + ("1",) * 2
-CALENDARS = [("wk", *WEEK, "20260918", "20261231", A), ("x", *ENDS, "20260918", "20261231", A), ("x", *WEEK, "20260920", "20261231", B), ("wk", *ENDS, "20260920", "20261231", B)]
-EXCEPTIONS = [("x", "20260923", "2", B), ("wk", "20260923", "1", B)]
-TIMES = {"a1": "10:00 10:10", "a2": "10:30 10:40", "a3": "11:00 11:10", "a4": "11:31 11:41", "a5": "12:00 12:10"}
-LATER = {"k1": "08:00 08:10 08:20", "k2": "08:10 08:20 08:30", "k3": "08:20 08:30 08:40", "k4": "08:30 08:40 08:50", "k5": "08:40 08:50 09:00", "ko": "08:45 08:55 09:05", "kd": "08:50 09:00 09:10", "kn": "25:10 25:20 25:45"}
-STOPS = [("s1", -33.87, 151.20, B), ("s2", -33.95, 151.10, B), ("s3", -33.80, 151.00, B)]
-
-
-def stop_times():
-    for label, world in ((A, TIMES), (B, LATER), (C, LATER)):
-        for trip, text in world.items():
-            clocks = text.split()
-            for i, clock in enumerate(clocks, 1):
-                yield trip, f"s{i}", i, f"{clock}:00", f"{clock}:00", "1" if i in (1, len(clocks)) else "0", "1" if (trip, i) == ("k3", 2) else "0", label
-
-
-def at(day, clock):
-    h, m, s = map(int, (clock + ":00")[:8].split(":"))
-    return datetime(2026, 9, day, h, m, s, tzinfo=LOCAL)
-
-
-def fact_trips():
-    d = lambda n: date(2026, 9, n)
-    yield from [(d(16), "a1", "SCHEDULED", 0, None, True), (d(17), "a1", "SCHEDULED", 0, None, True), (d(20), "a2", "SCHEDULED", 0, None, True)]
-    yield from [(d(22), "k1", "SCHEDULED", 0, None, True), (d(22), "k2", "CANCELED", 50, at(22, "07:00"), False), (d(22), "k3", "SCHEDULED", 5, at(22, "07:30"), True), (d(22), "k5", "CANCELED", 30, at(22, "08:45"), True)]
-    yield from [(d(22), t, "SCHEDULED", 0, None, True) for t in ("kn", "ko", "kd")]
-    yield from [(d(22), "kadd", "ADDED", 0, None, True), (d(23), "ko", "SCHEDULED", 0, None, True)]
-
-
-def fact_trip_stops():
-    def row(trip, seq, clock, day=22, on=22, stop=None, relation="SCHEDULED", reliable=True, lost=False, arrival=True):
-        when = at(day, clock) if clock else None
-        return date(2026, 9, on), trip, seq, when if arrival else None, when, relation, lost, reliable, stop or f"s{seq}", when - timedelta(seconds=10) if when else None
-
-    yield from [row("k1", 1, "07:59:01"), row("k1", 2, "08:16:00"), row("k1", 2, "08:30:00", stop="s9"), row("k1", 3, "08:18:00")]
-    yield from [row("k3", 1, "08:18:59"), row("k3", 2, "08:35:59"), row("k3", 3, "08:40:30", stop="s8"), row("k5", 1, "08:40:00", reliable=False, arrival=False)]
-    yield from [row("ko", 1, "08:41:00"), row("ko", 2, None, relation="SKIPPED", reliable=False), row("ko", 3, "09:05:00"), row("kd", 1, "08:50:00", day=23)]
-    yield from [row("kn", 1, "01:10:00", day=23), row("kn", 2, "01:20:00", day=23), row("kn", 3, "01:45:00", day=23, reliable=False, lost=True)]
-    yield from [row("a2", 1, "10:30:00", day=20, on=20), row("a2", 2, "10:40:00", day=20, on=20)]
-
-
-GEOGRAPHY = [
-    ("s1", -33.87, 151.20, "A1", "Alpha", 900.0, 2, 1000.0, date(2026, 1, 1)),
-    ("s1", -33.87, 151.20, "A1", "Alpha", 900.0, 2, 1000.0, date(2026, 9, 22)),
-    ("s2", -33.90, 151.10, "A1", "Alpha", 1000.0, 5, 2000.0, date(2026, 9, 22)),
-    ("s3", -33.80, 151.00, "B2", "Beta", None, None, 3000.0, date(2026, 9, 22)),
-    ("s9", -33.70, 150.90, "C3", "Gamma", 1100.0, 8, 9000.0, date(2026, 9, 22)),
-]
-BLOCKS = [
-    ("s1", "10001", 100.0, 300.0, "routed", 50, date(2026, 1, 1)),
-    ("s1", "10001", 100.0, 300.0, "routed", 50, date(2026, 9, 22)),
-    ("s1", "10002", 500.0, 700.0, "routed", 20, date(2026, 9, 22)),
-    ("s1", "10003", 700.0, None, "unroutable", 10, date(2026, 9, 22)),
-]
-
-
-def tables(spark):
-    days = ", ".join(f"{d} string" for d in ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"))
-    make = spark.createDataFrame
-    seed = [(date.fromisoformat(a), date.fromisoformat(b), kind, why, "seed") for a, b, kind, why in EXCLUSIONS]
-    return {
-        "calendar_exclusion_seed": make(seed, "start_date date, end_date date, exclusion_type string, reason string, source string"),
-        "dim_route_all": make(ROUTES, "route_id string, agency_id string, route_short_name string, route_long_name string, route_type string, valid_from string"),
-        "dim_trip_all": make([(t, r, s, "0", "", "", v) for t, r, s, v in TRIPS], "trip_id string, route_id string, service_id string, direction_id string, trip_headsign string, shape_id string, valid_from string"),
-        "dim_calendar_all": make(CALENDARS, f"service_id string, {days}, start_date string, end_date string, valid_from string"),
-        "dim_calendar_dates_all": make(EXCEPTIONS, "service_id string, date string, exception_type string, valid_from string"),
-        "dim_scheduled_stop_time_all": make(list(stop_times()), "trip_id string, stop_id string, stop_sequence int, arrival_time string, departure_time string, timepoint string, pickup_type string, valid_from string"),
-        "dim_stop_all": make(STOPS, "stop_id string, stop_lat double, stop_lon double, valid_from string"),
-        "fact_trip": make(list(fact_trips()), "service_date date, trip_id string, final_status string, canceled_polls int, first_canceled_at_utc timestamp, had_vehicle boolean"),
-        "fact_trip_stop": make(list(fact_trip_stops()), "service_date date, trip_id string, stop_sequence int, final_predicted_arrival_utc timestamp, final_predicted_departure_utc timestamp, schedule_relationship string, lost_tracking boolean, is_reliable boolean, stop_id string, last_update_at_utc timestamp"),
-        "stop_geography_all": make([(*r[:5], "Greater Sydney", *r[5:]) for r in GEOGRAPHY], "stop_id string, stop_lat double, stop_lon double, sa2_code string, sa2_name string, gccsa_name string, irsd_score double, irsd_state_decile short, distance_to_nearest_centre_m double, vintage date"),
-        "stop_meshblock_all": make(BLOCKS, "stop_id string, mesh_block_code string, straight_line_distance_m double, network_distance_m double, routing_status string, person_count int, vintage date"),
-    }
+"""Small random networks of ferries for the views: a few lines, sailings and piers, with times at and around every limit.
+
+Nothing is expected by hand: the same rows go to the views and to their SQL.
+"""
+
+import random
+from datetime import date, datetime, timedelta
+
+WEEK = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+SCHEMAS = {
+    "calendar_exclusion_seed": "start_date date, end_date date, exclusion_type string, reason string, source string",
+    "dim_route_all": "route_id string, agency_id string, route_short_name string, route_long_name string, route_type string, valid_from string",
+    "dim_trip_all": "trip_id string, route_id string, service_id string, direction_id string, trip_headsign string, shape_id string, valid_from string",
+    "dim_calendar_all": f"service_id string, {', '.join(f'{d} string' for d in WEEK)}, start_date string, end_date string, valid_from string",
+    "dim_calendar_dates_all": "service_id string, date string, exception_type string, valid_from string",
+    "dim_scheduled_stop_time_all": "trip_id string, stop_id string, stop_sequence int, arrival_time string, departure_time string, timepoint string, pickup_type string, valid_from string",
+    "dim_stop_all": "stop_id string, stop_lat double, stop_lon double, valid_from string",
+    "fact_trip": "service_date date, trip_id string, route_id string, final_status string, canceled_polls int, first_canceled_at_utc timestamp, had_vehicle boolean",
+    "fact_trip_stop": "service_date date, trip_id string, stop_sequence int, final_predicted_arrival_utc timestamp, final_predicted_departure_utc timestamp, schedule_relationship string, lost_tracking boolean, is_reliable boolean, stop_id string, last_update_at_utc timestamp",
+    "stop_geography_all": "stop_id string, stop_lat double, stop_lon double, sa2_code string, sa2_name string, gccsa_name string, irsd_score double, irsd_state_decile short, distance_to_nearest_centre_m double, vintage date",
+    "stop_meshblock_all": "stop_id string, mesh_block_code string, straight_line_distance_m double, network_distance_m double, routing_status string, person_count int, vintage date",
+}
+#: Delays, headways and tails at the limits of the rules and beside them.
+DELAYS = (-21_601, -61, -60, -59, -58, 0, 30, 359, 360, 361, 21_600, 21_601)
+STEPS = (5, 8, 10, 15, 20, 30, 60)
+DAYS = [date(2026, 9, 16) + timedelta(days=i) for i in range(6)] + [date(2026, 10, 3), date(2026, 10, 4), date(2027, 4, 3), date(2027, 4, 4)]
+
+
+def clock(s):
+    return f"{s // 3600:02d}:{s // 60 % 60:02d}:{s % 60:02d}"
+
+
+def rows(seed):
+    rng = random.Random(seed)
+    labels = ["2026-09-18T010000Z", "2026-09-19T141500Z"]
+    timed = [*labels, "2026-09-21T000000Z"]
+    piers, lines = [f"pier{i}" for i in range(6)], [f"line{i}" for i in range(5)]
+    out = {name: [] for name in SCHEMAS}
+    out["calendar_exclusion_seed"] = [(date(2026, 9, 14), date(2026, 9, 16), "school_holiday", "a", "x"), (date(2026, 9, 18), date(2026, 9, 18), "public_holiday", "b", "x"), (date(2026, 10, 5), date(2027, 4, 30), "school_holiday", "c", "x")]
+    for v in labels:
+        for i, line in enumerate(lines):
+            if rng.random() < 0.9:
+                out["dim_route_all"].append((line, rng.choice(["1", "7083", "7084"]) if i == 4 else "1", f"{line}-{v[8:10]}", "", "712" if i == 3 else "700", v))
+        for s in range(4):
+            out["dim_calendar_all"].append((f"svc{s}", *(rng.choice("01") for _ in WEEK), "20260901", rng.choice(["20260919", "20270501"]), v))
+            out["dim_calendar_dates_all"].append((f"svc{s}", rng.choice(DAYS).strftime("%Y%m%d"), rng.choice("12"), v))
+    sailings = {}
+    for k in range(24):
+        line, start, step = rng.choice(lines), rng.choice([6, 8, 9, 17, 23, 25, 26]) * 3600 + rng.randrange(4) * 900, rng.choice(STEPS) * 60
+        calls = [(rng.choice(piers), i + 1, start + i * step) for i in range(rng.randint(1, 4))]
+        sailings[f"s{k}"] = (line, calls)
+        for v in labels:
+            if rng.random() < 0.85:
+                out["dim_trip_all"].append((f"s{k}", line, rng.choice([f"svc{s}" for s in range(4)] + [None]), str(k % 2), "", "", v))
+        for v in timed:
+            if rng.random() < 0.9:
+                out["dim_scheduled_stop_time_all"] += [(f"s{k}", p, n, clock(s - rng.choice([0, 0, 60]) if n > 1 else s), clock(s), rng.choice("01"), rng.choice(["0", "1", None]), v) for p, n, s in calls]
+    for day in DAYS:
+        for k, (line, calls) in sailings.items():
+            if rng.random() < 0.3:
+                continue
+            midnight = datetime(day.year, day.month, day.day) - timedelta(hours=10)
+            status, cut = rng.choice(["SCHEDULED", "SCHEDULED", "CANCELED", "ADDED", None]), midnight + timedelta(seconds=calls[0][2] + rng.choice([-600, 0, 601]))
+            out["fact_trip"].append((day, k, line, status, rng.choice([0, 1, 9, None]), cut if status == "CANCELED" else None, rng.random() < 0.5))
+            for p, n, s in calls:
+                for pier in [p] * (rng.random() < 0.8) + ["elsewhere"] * (rng.random() < 0.15):
+                    at = midnight + timedelta(seconds=s + rng.choice(DELAYS)) if rng.random() < 0.9 else None
+                    fresh = at - timedelta(seconds=rng.choice([0, 60, 61])) if at else None
+                    out["fact_trip_stop"].append((day, k, n, at if rng.random() < 0.9 else None, at, rng.choice(["SCHEDULED"] * 5 + ["SKIPPED", "NO_DATA"]), rng.random() < 0.1, rng.random() < 0.8, pier, fresh))
+    for i, p in enumerate(piers):
+        for v in labels:
+            out["dim_stop_all"].append((p, -33.0 - i * 0.01 - (0.0003 if rng.random() < 0.3 else 0.0), 151.0 + i * 0.01, v))
+        for v in (date(2026, 1, 1), date(2026, 9, 1)):
+            if rng.random() < 0.8:
+                out["stop_geography_all"].append((p, -33.0 - i * 0.01, 151.0 + i * 0.01, rng.choice(["a", "b", None]), "an area", "harbour", rng.choice([None, 900.0, 1000.0, 1100.5]), rng.choice([None, 1, 2, 5, 10]), 100.0 * i, v))
+            for j in range(4):
+                if rng.random() < 0.8:
+                    out["stop_meshblock_all"].append((p, f"m{j}", rng.choice([400.0, 799.0, 800.0, 801.0]), rng.choice([None, 400.0, 401.0, 800.0, 801.0]), rng.choice(["routed", "unroutable", None]), rng.choice([0, 10, 25, None]), v))
+    return out
+
+
+def tables(spark, seed):
+    return {name: spark.createDataFrame(own, SCHEMAS[name]) for name, own in rows(seed).items()}
