@@ -1,6 +1,8 @@
 """Approximate nearest neighbours through a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample; every row is put in a leaf. A query
+The tree grows with the table: its top is fitted on one bounded sample, and each
+leaf of the top that would hold too many rows is split by a tree of its own,
+fitted where a second, larger sample of its rows is. Every row is put in a leaf. A query
 walks the tree best bin first: a priority queue holds the branches not taken,
 and leaves are visited until the calibrated number. That number is widened until
 a set of calibration queries, compared exactly with all rows, finds the asked
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 
 from punctual.llm.common import shuffle_partitions, small, written
 
-#: Vectors that the tree is fitted on, at most; branches of a node; rows that a leaf should get.
-SAMPLE, BRANCHES, LEAF = 20_000, 8, 200
+#: Vectors that the tree's top, and all that is below it, are fitted on, about; branches of a node; rows that a leaf should get.
+SAMPLE, DEEP, BRANCHES, LEAF = 20_000, 640_000, 8, 200
 #: Sampled vectors below which a node isn't split.
 LEAST = 16
 #: Calibration queries, and the share of their neighbours that must be found.
@@ -115,6 +117,39 @@ def best_bins(root: Node, q: np.ndarray) -> Iterator[int]:
             turn += 1
 
 
+def flat(root: Node) -> list[tuple[int, int, list[float]]]:
+    """(number, parent's number, centre) of each node below the root, parents first."""
+    out, todo, n = [], [(root, 0)], 0
+    while todo:
+        node, own = todo.pop(0)
+        for centre, child in zip(node.centres if node.centres is not None else (), node.children, strict=True):
+            n += 1
+            out.append((n, own, centre.tolist()))
+            todo.append((child, n))
+    return out
+
+
+def grafted(node: Node, rows: list[tuple[int, int, list[float]]]) -> None:
+    """Put a flattened tree in the place of a leaf."""
+    nodes, centres = {0: node}, {}
+    for number, parent, centre in sorted(rows):
+        nodes[number] = Node()
+        nodes[parent].children.append(nodes[number])
+        centres.setdefault(parent, []).append(centre)
+    for parent, own in centres.items():
+        nodes[parent].centres = np.array(own)
+
+
+def leaves(root: Node) -> list[Node]:
+    out, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        todo += node.children[::-1]
+        if node.centres is None:
+            out.append(node)
+    return out
+
+
 def _stack(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
@@ -226,15 +261,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, recall: float = RE
     sample = entries.where(draw < SAMPLE / n_entries).select("vid", "v").orderBy("vid").limit(2 * SAMPLE).toPandas().sort_values("vid")
     fitted = unit(np.stack(sample["v"].to_list())) if len(sample) else np.zeros((0, length.d))
     root, n_leaves = grow(fitted, max(1, round(LEAF * len(fitted) / max(1, n_entries))))
+    if n_entries > 2 * LEAF * n_leaves:
+        n_leaves = _deepened(entries, root, n_entries, n_leaves)
     tree = spark.sparkContext.broadcast(root)
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if len(batch):
-                leaf = place(tree.value, unit(_stack(batch.column(0))))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], names=[*batch.schema.names, "leaf"])
-
-    index = written(entries.select("v", "vid", "asked").mapInArrow(placed, "v array<double>, vid long, asked boolean, leaf long"))
+    index = written(entries.select("v", "vid", "asked").mapInArrow(lambda it: _placed(it, tree.value), "v array<double>, vid long, asked boolean, leaf long"))
     counts = {r.leaf: r.n for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
 
     visits = _calibrated(entries, index, root, n_entries, n_leaves, k, recall)
@@ -280,6 +310,35 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, recall: float = RE
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vid").alias("vec_id"), "score")
 
 
+def _placed(batches: Iterator[pa.RecordBatch], root: Node) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if len(batch):
+            leaf = place(root, unit(_stack(batch.column(0))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], names=[*batch.schema.names, "leaf"])
+
+
+def _deepened(entries: DataFrame, root: Node, n_entries: int, n_leaves: int) -> int:
+    """Split the leaves of the top by trees of their own; the number of leaves after."""
+    top = entries.sparkSession.sparkContext.broadcast(root)
+    draw = F.pmod(F.xxhash64("h1", F.lit(2)), F.lit(1 << 40)) / (1 << 40)
+    some = entries.where(draw < DEEP / n_entries).select("v", "vid").mapInArrow(lambda it: _placed(it, top.value), "v array<double>, vid long, leaf long")
+    size = max(1, round(LEAF * min(1.0, DEEP / n_entries)))
+
+    def fitted(rows: pd.DataFrame) -> pd.DataFrame:
+        own, _ = grow(unit(np.stack(rows.sort_values("vid")["v"].to_list())), size)
+        return pd.DataFrame([(rows["leaf"].iloc[0], *r) for r in flat(own)], columns=["leaf", "node", "parent", "centre"])
+
+    found: dict[int, list] = {}
+    for r in some.groupBy("leaf").applyInPandas(fitted, "leaf long, node long, parent long, centre array<double>").collect():
+        found.setdefault(r.leaf, []).append((r.node, r.parent, list(r.centre)))
+    for leaf in leaves(root):
+        grafted(leaf, found.get(leaf.leaf, []))
+    own = leaves(root)
+    for i, leaf in enumerate(own):
+        leaf.leaf = i
+    return len(own)
+
+
 def _calibrated(entries: DataFrame, index: DataFrame, root: Node, n_entries: int, n_leaves: int, k: int, recall: float) -> int:
     """Leaf visits that find the asked share of the exact neighbours of the calibration queries."""
     if n_leaves == 1:
@@ -298,6 +357,16 @@ def _calibrated(entries: DataFrame, index: DataFrame, root: Node, n_entries: int
                 yield pa.RecordBatch.from_arrays([pa.array(qid[a]), part.column(0).take(pa.array(b)), pa.array(s), part.column(2).take(pa.array(b))], names=["qid", "vid", "score", "leaf"])
 
     true = _ranked(index.select("vid", "v", "leaf").mapInArrow(exact, "qid long, vid long, score double, leaf long").where("vid <> qid"), "qid", k).collect()
-    walks = {i: {leaf: turn for turn, leaf in enumerate(best_bins(root, x))} for i, x in zip(qid.tolist(), unit(q), strict=True)}
-    turns = np.sort([walks[r.qid][r.leaf] for r in true])
+    wanted: dict[int, list[int]] = {}
+    for r in true:
+        wanted.setdefault(r.qid, []).append(r.leaf)
+    turns = []
+    for i, x in zip(qid.tolist(), unit(q), strict=True):
+        left = wanted.get(i, [])
+        for turn, leaf in enumerate(best_bins(root, x)):
+            turns += [turn] * left.count(leaf)
+            left = [y for y in left if y != leaf]
+            if not left:
+                break
+    turns = np.sort(turns)
     return int(turns[min(len(turns) - 1, int(np.ceil(recall * len(turns))) - 1)]) + 1 if len(turns) else 1

@@ -46,6 +46,31 @@ def test_recall_against_brute_force(spark, monkeypatch):
     assert np.sum(hits) / (5 * len(want)) >= 0.9
 
 
+def test_the_tree_grows_beyond_its_first_sample(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE", 100)
+    monkeypatch.setattr(ann, "LEAF", 25)
+    rows, seen = vectors(2000, seed=3), []
+    deepened = ann._deepened
+    monkeypatch.setattr(ann, "_deepened", lambda *a: seen.append((a[3], deepened(*a))) or seen[-1][1])
+    got, want = found(spark, rows, 10), brute(rows, 10)
+    assert seen and seen[0][1] > 5 * seen[0][0]
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want]
+    assert np.sum(hits) / (5 * len(want)) >= 0.9
+
+
+def test_flattened_trees_are_the_same_again():
+    rng = np.random.default_rng(5)
+    x = ann.unit(rng.normal(size=(400, 6)))
+    root, n = ann.grow(x, 20)
+    again = ann.Node()
+    ann.grafted(again, ann.flat(root))
+    for i, leaf in enumerate(ann.leaves(root)):
+        leaf.leaf = i
+    for i, leaf in enumerate(ann.leaves(again)):
+        leaf.leaf = i
+    assert n == len(ann.leaves(again)) and (ann.place(root, x) == ann.place(again, x)).all()
+
+
 def test_copies_ties_and_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(ann, "FAN", 7)
     same, nan = [float(x) for x in range(1, 9)], float("nan")
