@@ -7,6 +7,7 @@ Words are runs of bytes other than the six ASCII white-space characters
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -63,6 +64,12 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of what was written and is no longer referred to; it notices when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small(df: DataFrame, rows: int, size: int | None = None) -> DataFrame:
     """Mark a table of checked size (16 bytes a row, if not told) for broadcasting; beyond the bound, Spark joins by shuffle."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS and (16 * rows if size is None else size) <= BROADCAST_BYTES else df

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import U64, bounded_batches, bucket_runs, chunks, hashed, mix, pack, remainder, shuffle_partitions, spans_by, spread, squeeze, texts_of, written
+from punctual.llm.common import U64, bounded_batches, bucket_runs, chunks, hashed, mix, pack, released, remainder, shuffle_partitions, spans_by, spread, squeeze, texts_of, written
 
 #: Divergence, in nats, that keeps a symbol; how often it must follow; what is taken off its count.
 TELLING, LEAST, DISCOUNT = 12.0, 2, 0.75
@@ -47,8 +47,8 @@ HOT, HOT_SHARE = 2_000_000, 1e-5
 END_KEY, OTHER = 0xE0D, 0
 _KEY = U64((1 << 48) - 1)
 
-ROWS = "chunk long, bucket int, a binary, b binary, c binary, d binary, x long, y long"
-_KINDS = {"chunk": pa.int64(), "bucket": pa.int32(), "a": pa.binary(), "b": pa.binary(), "c": pa.binary(), "d": pa.binary(), "x": pa.int64(), "y": pa.int64()}
+ROWS = "chunk long, bucket int, a binary, b binary, c binary, d binary, e binary, x long, y long"
+_KINDS = {"chunk": pa.int64(), "bucket": pa.int32(), **dict.fromkeys("abcde", pa.binary()), "x": pa.int64(), "y": pa.int64()}
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -79,8 +79,14 @@ def _encoded(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
         held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
         index: dict[bytes, int] = {}
         own = [np.array([index.setdefault(w, len(index)) for w in text.lower().split()], np.int32) for text in texts_of(batch)]
-        words, n_words = list(index), np.array([len(x) for x in own], np.int64)
+        n_words = np.array([len(x) for x in own], np.int64)
         seq = np.concatenate([np.zeros(0, np.int32), *own])
+        # Common words have small numbers, which take less room.
+        order = np.argsort(-np.bincount(seq, minlength=len(index)), kind="stable")
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
+        spelled = list(index)
+        words, seq = [spelled[i] for i in order.tolist()], number[seq] if len(seq) else seq
         train = np.bincount(seq[np.repeat(~held, n_words)], minlength=len(words)).astype(np.int32)
         valid = ids.is_valid().to_numpy(zero_copy_only=False)
         head = np.r_[ids.fill_null(0).to_numpy(), held.astype(np.int64), valid.astype(np.int64), n_words]
@@ -88,8 +94,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
         mark = int(hashed([blob + head.tobytes() + seq.tobytes()])[0].view(np.int64))
         rows = [(mark, None, squeeze(head), squeeze(np.frombuffer(blob, np.uint8)), squeeze(seq))]
         if words:
-            number, places = _dealt(words, buckets)
-            rows += [(mark, int(b), squeeze(np.frombuffer(b"\n".join([words[i] for i in at.tolist()]), np.uint8)), squeeze(train[at])) for b, at in zip(number, places, strict=True)]
+            rows += [(mark, int(b), squeeze(np.frombuffer(b"\n".join([words[i] for i in at.tolist()]), np.uint8)), squeeze(train[at])) for b, at in zip(*_dealt(words, buckets), strict=True)]
         yield _batch(rows)
 
 
@@ -114,7 +119,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.cumsum([len(x) for x in asked])
         out = [(r["chunk"], r["bucket"], squeeze(back[e - len(x) : e])) for r, x, e in zip(rows, asked, ends.tolist(), strict=True)]
         hot = total >= HOT
-        yield _batch([*out, (None, None, squeeze(keys[order][at][hot] & _KEY), squeeze(total[hot]), None, None, int((total > 0).sum()), int(total.sum()))])
+        yield _batch([*out, (None, None, squeeze(keys[order][at][hot] & _KEY), squeeze(total[hot]), None, None, None, int((total > 0).sum()), int(total.sum()))])
 
 
 @dataclass
@@ -169,12 +174,20 @@ class Entries:
     of: np.ndarray
 
     def rows(self, chunk: int) -> list[tuple]:
+        """A row for each bucket: contexts, how many entries each has, then the entries' columns."""
         at, _ = spans_by(self.bucket)
-        spans = zip(at.tolist(), [*at[1:].tolist(), len(self.bucket)], strict=False)
-        return [(chunk, int(self.bucket[a]), squeeze(self.contexts(a, b)), squeeze(self.symbol[a:b]), squeeze(self.back[a:b]), squeeze(self.n[a:b])) for a, b in spans]
+        out = []
+        for a, b in zip(at.tolist(), [*at[1:].tolist(), len(self.bucket)], strict=False):
+            runs = self.runs(a, b)
+            sizes = np.diff(np.r_[runs, b - a]).astype(np.int32)
+            out.append((chunk, int(self.bucket[a]), squeeze(self.contexts(a + runs)), squeeze(sizes), squeeze(self.symbol[a:b]), squeeze(self.back[a:b]), squeeze(self.n[a:b])))
+        return out
 
-    def contexts(self, a: int, b: int) -> np.ndarray:
-        return self.context[a:b]
+    def runs(self, a: int, b: int) -> np.ndarray:
+        return spans_by(self.context[a:b])[0]
+
+    def contexts(self, at: np.ndarray) -> np.ndarray:
+        return self.context[at]
 
 
 def _pairs(t: Texts, buckets: int, root: Root) -> Entries:
@@ -197,16 +210,16 @@ def _pairs(t: Texts, buckets: int, root: Root) -> Entries:
     return Entries(dealt[order].astype(np.int64), context[order], symbol[order].astype(np.uint32), back[order], n[order], of)
 
 
-def judged(context: np.ndarray, symbol: np.ndarray, back: np.ndarray, n: np.ndarray, sizes: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
-    """Which entries are kept, and each entry's log10: of its probability if kept, else of the factor on the suffix's.
+def judged(context: np.ndarray, symbol: np.ndarray, back: np.ndarray, n: np.ndarray, sizes: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+    """Which entries are kept; the log10 of each entry's probability if it is, and of the factor on the suffix's where it isn't.
 
     All entries of a context must be here, or else ``sizes`` has its occurrences;
     the sums of such contexts come last: (context, probability kept, the suffix's).
     Entries with the symbol ``OTHER`` are never kept.
     """
-    kept, value = np.zeros(len(context), bool), np.zeros(len(context))
+    kept, value, factor = np.zeros(len(context), bool), np.zeros(len(context)), np.zeros(len(context))
     if not len(context):
-        return kept, value, (context, value, value)
+        return kept, value, factor, (context, value, value)
     order = np.lexsort((back, symbol, context))
     c, s, p, times = context[order], symbol[order], 10.0 ** back[order].astype(np.float64), n[order].astype(np.float64)
     new = np.r_[True, (c[1:] != c[:-1]) | (s[1:] != s[:-1]) | (back[order][1:] != back[order][:-1])]
@@ -228,10 +241,8 @@ def judged(context: np.ndarray, symbol: np.ndarray, back: np.ndarray, n: np.ndar
     mass, lost = np.add.reduceat(share, at), np.add.reduceat(np.where(good, p, 0.0), at)
     rest = _rest(mass, lost)
     rest[split] = 0.0
-    with np.errstate(divide="ignore"):
-        found = np.where(good, np.log10(np.maximum(share, 1e-300)), rest[group])
-    kept[order], value[order] = good[pair], found[pair]
-    return kept, value, (own[at][split], mass[split], lost[split])
+    kept[order], value[order], factor[order] = good[pair], np.log10(np.maximum(share, 1e-300))[pair], rest[group][pair]
+    return kept, value, factor, (own[at][split], mass[split], lost[split])
 
 
 def _rest(mass: np.ndarray, lost: np.ndarray) -> np.ndarray:
@@ -239,18 +250,45 @@ def _rest(mass: np.ndarray, lost: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(1 - mass, 1e-12) / np.maximum(1 - lost, 1e-12))
 
 
+def _entries(rows: list[dict], columns: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Of a bucket's rows: each row's runs, and the entries' contexts (one array for each of ``columns``), symbols, probabilities and counts."""
+    runs = [spread(r["b"], np.int32) for r in rows]
+    heads = [spread(r["a"], U64).reshape(columns, -1) for r in rows]
+    contexts = [np.concatenate([np.repeat(h[i], x) for h, x in zip(heads, runs, strict=True)]) for i in range(columns)]
+    return runs, contexts, *(np.concatenate([spread(r[k], kind) for r in rows]) for k, kind in (("c", np.uint32), ("d", np.float32), ("e", np.int32)))
+
+
 def _judge_pairs(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.RecordBatch]:
-    """Answers to a bucket's pairs; and (chunk null) the sums of contexts that are dealt out by symbol."""
+    """Answers to a bucket's pairs: which are kept, the values of those, and the factor of each context; and (chunk null) the sums of contexts dealt out by symbol."""
     sizes = dict(zip(root.hot.tolist(), root.hot_n.tolist(), strict=True))
     for run in bucket_runs(batches):
         rows = run.to_pylist()
-        parts = [[spread(r[k], kind) for r in rows] for k, kind in (("a", U64), ("b", np.uint32), ("c", np.float32), ("d", np.int32))]
-        kept, value, sums = judged(*(np.concatenate(p) for p in parts), sizes)
-        ends = np.cumsum([len(x) for x in parts[0]]).tolist()
-        out = [(r["chunk"], r["bucket"], None, squeeze(kept[e - len(x) : e].astype(np.uint8)), squeeze(value[e - len(x) : e].astype(np.float32))) for r, x, e in zip(rows, parts[0], ends, strict=True)]
+        runs, (context,), symbol, back, n = _entries(rows, 1)
+        kept, value, factor, sums = judged(context, symbol, back, n, sizes)
+        out, a = [], 0
+        for r, own in zip(rows, runs, strict=True):
+            b = a + int(own.sum())
+            first = a + np.cumsum(own) - own
+            out.append((r["chunk"], r["bucket"], None, squeeze(np.packbits(kept[a:b])), squeeze(value[a:b][kept[a:b]].astype(np.float32)), squeeze(factor[first].astype(np.float32))))
+            a = b
         yield _batch([*out, (None, None, squeeze(sums[0]), squeeze(sums[1]), squeeze(sums[2]))])
 
 
+def _told(pairs: Entries, answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of a chunk are kept, and each one's value, or else its factor."""
+    own = {x["bucket"]: x for x in answers if x["a"] is None}
+    kept, value = np.zeros(len(pairs.bucket), bool), np.zeros(len(pairs.bucket))
+    at, _ = spans_by(pairs.bucket)
+    for a, b in zip(at.tolist(), [*at[1:].tolist(), len(pairs.bucket)], strict=False):
+        r = own[int(pairs.bucket[a])]
+        good = np.unpackbits(spread(r["b"], np.uint8), count=b - a).astype(bool)
+        _, group = spans_by(pairs.context[a:b])
+        found = spread(r["d"], np.float32)[group].astype(np.float64)
+        found[good] = spread(r["c"], np.float32)
+        kept[a:b], value[a:b] = good, found
+    return kept, value
+
+
 def _chunk_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
     """Each chunk's row with the answers to it, from rows sorted by chunk, its row last."""
     chunk, answers = None, []
@@ -278,10 +316,7 @@ def _asked_branches(batches: Iterator[pa.RecordBatch], buckets: int, root: Root,
     for r, answers in _chunk_runs(batches):
         t = _texts(r, {x["bucket"]: x["a"] for x in answers if x["a"] is not None}, buckets, root)
         pairs = _pairs(t, buckets, root)
-        own = {x["bucket"]: x for x in answers if x["a"] is None}
-        used = np.unique(pairs.bucket).tolist()
-        kept = np.concatenate([np.zeros(0, np.uint8), *(spread(own[b]["b"], np.uint8) for b in used)]).astype(bool)
-        value = np.concatenate([np.zeros(0, np.float32), *(spread(own[b]["c"], np.float32) for b in used)]).astype(np.float64)
+        kept, value = _told(pairs, answers)
         if len(hot) and len(value):
             place = np.minimum(np.searchsorted(hot, pairs.context), len(hot) - 1)
             common = (hot[place] == pairs.context) & ~kept
@@ -303,8 +338,12 @@ def _asked_branches(batches: Iterator[pa.RecordBatch], buckets: int, root: Root,
 class Branches(Entries):
     longer: np.ndarray
 
-    def contexts(self, a: int, b: int) -> np.ndarray:
-        return np.r_[self.context[a:b], self.longer[a:b]]
+    def runs(self, a: int, b: int) -> np.ndarray:
+        c, x = self.context[a:b], self.longer[a:b]
+        return np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (x[1:] != x[:-1])])
+
+    def contexts(self, at: np.ndarray) -> np.ndarray:
+        return np.r_[self.context[at], self.longer[at]]
 
 
 def _branches(t: Texts, score: np.ndarray, told: np.ndarray, buckets: int) -> Branches:
@@ -335,16 +374,14 @@ def _judge_branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """What contexts of two and three words add to the score of each entry of a bucket."""
     for run in bucket_runs(batches):
         rows = run.to_pylist()
-        both = [spread(r["a"], U64).reshape(2, -1) for r in rows]
-        context, longer = np.concatenate([x[0] for x in both]), np.concatenate([x[1] for x in both])
-        symbol, back, n = (np.concatenate([spread(r[k], kind) for r in rows]) for k, kind in (("b", np.uint32), ("c", np.float32), ("d", np.int32)))
-        kept, value, _ = judged(context, symbol, back, n)
-        score = np.where(kept, value, back + value)
+        runs, (context, longer), symbol, back, n = _entries(rows, 2)
+        kept, value, factor, _ = judged(context, symbol, back, n)
+        score = np.where(kept, value, back + factor)
         at = np.flatnonzero(longer)
-        kept, value, _ = judged(longer[at], symbol[at], score[at], n[at])
-        score[at] = np.where(kept, value, score[at] + value)
-        gain, ends = score - back, np.cumsum([x.shape[1] for x in both]).tolist()
-        yield _batch([(r["chunk"], r["bucket"], squeeze(gain[e - x.shape[1] : e])) for r, x, e in zip(rows, both, ends, strict=True)])
+        kept, value, factor, _ = judged(longer[at], symbol[at], score[at], n[at])
+        score[at] = np.where(kept, value, score[at] + factor)
+        gain, ends = score - back, np.cumsum([int(x.sum()) for x in runs]).tolist()
+        yield _batch([(r["chunk"], r["bucket"], squeeze(gain[a:b])) for r, a, b in zip(rows, [0, *ends], ends, strict=False)])
 
 
 def _scored(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.RecordBatch]:
@@ -395,15 +432,18 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     total, distinct = total + ends, distinct + (ends > 0)
     common = told(counts.where(F.col("y") >= HOT), U64, np.int64)
     hot = sorted((int(k), int(n)) for x in common for k, n in zip(*x, strict=True) if n >= max(HOT, HOT_SHARE * total))
+    released(spark)
     root = Root(total, distinct, ends, np.array([k for k, _ in hot], U64), np.array([n for _, n in hot], np.int64))
 
     answers = counts.where("chunk is not null")
     asked = by_bucket(by_chunk(texts, answers).mapInArrow(lambda it: _asked_pairs(it, buckets, root), ROWS))
     pairs = written(asked.mapInArrow(lambda it: _judge_pairs(it, root), ROWS))
+    released(spark)
     hot_keys, hot_rest = _hot_sums(told(pairs, U64, np.float64, np.float64) if hot else [])
 
     grown = by_chunk(texts, answers, pairs.where("chunk is not null")).mapInArrow(lambda it: _asked_branches(it, buckets, root, hot_keys, hot_rest), ROWS)
     grown = written(grown)
+    released(spark)
     gains = by_bucket(grown.where("bucket is not null")).mapInArrow(_judge_branches, ROWS)
     return by_chunk(grown.where("bucket is null"), gains).mapInArrow(lambda it: _scored(it, root), SCORES)
 
