@@ -17,7 +17,7 @@ from punctual.llm.common import small, written
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, LIMIT, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, "mix"
 #: Documents that are ranked together, about.
-BLOCK = 20_000
+BLOCK = 2_000
 
 
 def size_of(text: Column) -> Column:
