@@ -7,7 +7,6 @@ Words are runs of bytes other than the six ASCII white-space characters
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -57,19 +56,22 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+#: Deletes an execution's shuffle files when it ends; what was written needs them no more.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
-    """The same rows from a Parquet table in the shared folder: cuts lineage, survives lost executors."""
+    """The same rows from a Parquet table in the shared folder: cuts lineage, survives lost executors, frees the shuffles behind it."""
     spark, path = df.sparkSession, scratch(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def released(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of what was written and is no longer referred to; it notices when the driver collects garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def small(df: DataFrame, rows: int, size: int | None = None) -> DataFrame:
     """Mark a table of checked size (16 bytes a row, if not told) for broadcasting; beyond the bound, Spark joins by shuffle."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS and (16 * rows if size is None else size) <= BROADCAST_BYTES else df
