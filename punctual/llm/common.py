@@ -180,6 +180,11 @@ def spans_by(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(new), np.cumsum(new) - 1
 
 
+def by_bucket(df: DataFrame, tasks: int) -> DataFrame:
+    """Each task gets as many buckets as any other, one after another."""
+    return df.repartitionById(tasks, "bucket").sortWithinPartitions("bucket")
+
+
 def bucket_runs(batches: Iterator[pa.RecordBatch], name: str = "bucket") -> Iterator[pa.Table]:
     """The rows of one bucket after another, from rows sorted by bucket."""
     held, now = [], None

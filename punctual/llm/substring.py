@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punctual.llm.common import U64, bounded_batches, chunks, mix, odd_numbers, pack, shuffle_partitions, small, spans_by, texts_of, word_hashes, written
+from punctual.llm.common import U64, bounded_batches, by_bucket, chunks, mix, odd_numbers, pack, shuffle_partitions, small, spans_by, texts_of, word_hashes, written
 
 #: A perfect difference set: every remainder modulo 31 is a difference of two of these.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
@@ -249,16 +249,13 @@ def repeated_places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     tasks = min(buckets, shuffle_partitions(spark))
     width = window - PERIOD + 1
 
-    def dealt(packed: DataFrame) -> DataFrame:
-        return packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-
     def stretches(packed: DataFrame, before: int, after: int) -> DataFrame:
-        return written(dealt(packed).mapInArrow(lambda it: _stretches(it, before, after), PLACES))
+        return written(by_bucket(packed, tasks).mapInArrow(lambda it: _stretches(it, before, after), PLACES))
 
-    anchors = dealt(docs.mapInArrow(lambda it: _anchors(it, window, buckets), PACKED))
+    anchors = by_bucket(docs.mapInArrow(lambda it: _anchors(it, window, buckets), PACKED), tasks)
     shared = stretches(anchors.mapInArrow(lambda it: _shared(it, buckets), PACKED), window - width, 1)
     held = docs.join(small(shared, *_extent(shared)), "doc_id")
-    windows = dealt(held.select("doc_id", "text", "places").mapInArrow(lambda it: _windows(it, window, buckets), PACKED))
+    windows = by_bucket(held.select("doc_id", "text", "places").mapInArrow(lambda it: _windows(it, window, buckets), PACKED), tasks)
     return stretches(windows.mapInArrow(lambda it: _judged(it, buckets), PACKED), 0, window)
 
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import U64, bounded_batches, bucket_runs, chunks, hashed, mix, pack, remainder, shuffle_partitions, spans_by, spread, squeeze, texts_of, written
+from punctual.llm.common import U64, bounded_batches, bucket_runs, by_bucket, chunks, hashed, mix, pack, remainder, shuffle_partitions, spans_by, spread, squeeze, texts_of, written
 
 #: Divergence, in nats, that keeps a symbol; how often it must follow; what is taken off its count.
 TELLING, LEAST, DISCOUNT = 12.0, 2, 0.75
@@ -46,6 +46,8 @@ HOT, HOT_SHARE = 2_000_000, 1e-5
 #: The end of a text, and all symbols that no context can keep, as keys of symbols.
 END_KEY, OTHER = 0xE0D, 0
 _KEY = U64((1 << 48) - 1)
+#: Pairs send the root's log10 probability in steps of 1/5000, and symbols by 24 bits.
+STEP, _SYMBOL = 5000, U64((1 << 24) - 1)
 
 ROWS = "chunk long, bucket int, a binary, b binary, c binary, d binary, e binary, x long, y long"
 _KINDS = {"chunk": pa.int64(), "bucket": pa.int32(), **dict.fromkeys("abcde", pa.binary()), "x": pa.int64(), "y": pa.int64()}
@@ -199,15 +201,14 @@ def _pairs(t: Texts, buckets: int, root: Root) -> Entries:
     code, inverse = np.unique(t.before[at] * width + kept, return_inverse=True)
     n = np.bincount(inverse, weights=t.train[at], minlength=len(code)).astype(np.int32)
     context, symbol = t.key[code // width], np.r_[t.key, np.array([OTHER], U64)][code % width]
-    back = np.r_[t.root, 0.0][code % width].astype(np.float32)
+    back = np.minimum(np.round(-STEP * np.r_[t.root, 0.0][code % width]), 65535).astype(np.uint16)
     dealt = mix(np.where(np.isin(context, root.hot), context ^ mix(symbol), context)) % U64(buckets)
     order = np.lexsort((symbol, context, dealt))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     of = np.full(len(t.symbol), -1, np.int64)
     of[at] = place[inverse]
-    # Symbols by 32 bits and their probability, which tells most others apart too.
-    return Entries(dealt[order].astype(np.int64), context[order], symbol[order].astype(np.uint32), back[order], n[order], of)
+    return Entries(dealt[order].astype(np.int64), context[order], (symbol[order] & _SYMBOL).astype(np.uint32), back[order], n[order], of)
 
 
 def judged(context: np.ndarray, symbol: np.ndarray, back: np.ndarray, n: np.ndarray, sizes: dict[int, int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
@@ -250,12 +251,12 @@ def _rest(mass: np.ndarray, lost: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(1 - mass, 1e-12) / np.maximum(1 - lost, 1e-12))
 
 
-def _entries(rows: list[dict], columns: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Of a bucket's rows: each row's runs, and the entries' contexts (one array for each of ``columns``), symbols, probabilities and counts."""
+def _entries(rows: list[dict], columns: int, back: type) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Of a bucket's rows: each row's runs, and the entries' contexts (one array for each of ``columns``), symbols, probabilities (of type ``back``) and counts."""
     runs = [spread(r["b"], np.int32) for r in rows]
     heads = [spread(r["a"], U64).reshape(columns, -1) for r in rows]
     contexts = [np.concatenate([np.repeat(h[i], x) for h, x in zip(heads, runs, strict=True)]) for i in range(columns)]
-    return runs, contexts, *(np.concatenate([spread(r[k], kind) for r in rows]) for k, kind in (("c", np.uint32), ("d", np.float32), ("e", np.int32)))
+    return runs, contexts, *(np.concatenate([spread(r[k], kind) for r in rows]) for k, kind in (("c", np.uint32), ("d", back), ("e", np.int32)))
 
 
 def _judge_pairs(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.RecordBatch]:
@@ -263,8 +264,8 @@ def _judge_pairs(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.R
     sizes = dict(zip(root.hot.tolist(), root.hot_n.tolist(), strict=True))
     for run in bucket_runs(batches):
         rows = run.to_pylist()
-        runs, (context,), symbol, back, n = _entries(rows, 1)
-        kept, value, factor, sums = judged(context, symbol, back, n, sizes)
+        runs, (context,), symbol, back, n = _entries(rows, 1, np.uint16)
+        kept, value, factor, sums = judged(context, symbol, back.astype(np.float64) / -STEP, n, sizes)
         out, a = [], 0
         for r, own in zip(rows, runs, strict=True):
             b = a + int(own.sum())
@@ -374,7 +375,7 @@ def _judge_branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """What contexts of two and three words add to the score of each entry of a bucket."""
     for run in bucket_runs(batches):
         rows = run.to_pylist()
-        runs, (context, longer), symbol, back, n = _entries(rows, 2)
+        runs, (context, longer), symbol, back, n = _entries(rows, 2, np.float32)
         kept, value, factor, _ = judged(context, symbol, back, n)
         score = np.where(kept, value, back + factor)
         at = np.flatnonzero(longer)
@@ -388,8 +389,8 @@ def _scored(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.Record
     for r, answers in _chunk_runs(batches):
         ids, held, valid, n_tokens, n_known = spread(r["a"], np.int64).reshape(5, -1)
         base, score = spread(r["b"], np.float64).reshape(2, -1)
-        by_bucket = {x["bucket"]: x["a"] for x in answers}  # chunks alike have the same answers, each of them
-        gain = np.concatenate([np.zeros(0), *(spread(by_bucket[b], np.float64) for b in sorted(by_bucket))])
+        own = {x["bucket"]: x["a"] for x in answers}  # chunks alike have the same answers, each of them
+        gain = np.concatenate([np.zeros(0), *(spread(own[b], np.float64) for b in sorted(own))])
         doc, of = spread(r["c"], np.int32), spread(r["d"], np.int32)
         score = score + np.bincount(doc, weights=gain[of], minlength=len(ids))
         columns = [pa.array(ids, mask=valid == 0), pa.array(held == 1), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(ids), root.total, np.int64)), pa.array(base), pa.array(score)]
@@ -411,9 +412,6 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     buckets = -(-size // BUCKET_BYTES) or 1
     tasks = min(buckets, shuffle_partitions(spark))
 
-    def by_bucket(df: DataFrame) -> DataFrame:
-        return df.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-
     def by_chunk(*parts: DataFrame) -> DataFrame:
         both = parts[0]
         for part in parts[1:]:
@@ -427,7 +425,7 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
 
     coded = written(rows.mapInArrow(lambda it: _encoded(it, buckets), ROWS))
     texts = coded.where("bucket is null")
-    counts = written(by_bucket(coded.where("bucket is not null")).mapInArrow(_counted, ROWS))
+    counts = written(by_bucket(coded.where("bucket is not null"), tasks).mapInArrow(_counted, ROWS))
     distinct, total = counts.agg(F.coalesce(F.sum("x"), F.lit(0)), F.coalesce(F.sum("y"), F.lit(0))).first()
     total, distinct = total + ends, distinct + (ends > 0)
     common = told(counts.where(F.col("y") >= HOT), U64, np.int64)
@@ -435,13 +433,13 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
     root = Root(total, distinct, ends, np.array([k for k, _ in hot], U64), np.array([n for _, n in hot], np.int64))
 
     answers = counts.where("chunk is not null")
-    asked = by_bucket(by_chunk(texts, answers).mapInArrow(lambda it: _asked_pairs(it, buckets, root), ROWS))
+    asked = by_bucket(by_chunk(texts, answers).mapInArrow(lambda it: _asked_pairs(it, buckets, root), ROWS), tasks)
     pairs = written(asked.mapInArrow(lambda it: _judge_pairs(it, root), ROWS))
     hot_keys, hot_rest = _hot_sums(told(pairs, U64, np.float64, np.float64) if hot else [])
 
     grown = by_chunk(texts, answers, pairs.where("chunk is not null")).mapInArrow(lambda it: _asked_branches(it, buckets, root, hot_keys, hot_rest), ROWS)
     grown = written(grown)
-    gains = by_bucket(grown.where("bucket is not null")).mapInArrow(_judge_branches, ROWS)
+    gains = by_bucket(grown.where("bucket is not null"), tasks).mapInArrow(_judge_branches, ROWS)
     return by_chunk(grown.where("bucket is null"), gains).mapInArrow(lambda it: _scored(it, root), SCORES)
 
 

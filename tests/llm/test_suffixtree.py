@@ -118,7 +118,7 @@ def test_scores_agree_with_plain_counting(spark, monkeypatch, hot):
     want = sorted((str(i), plain.score(t)) for i, t, *_ in rows)
     got = sorted((str(r.doc_id), r.score) for r in suffixtree.score(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect())
     assert [i for i, _ in got] == [i for i, _ in want]
-    assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=1e-5, abs=1e-4)
+    assert [x for _, x in got] == pytest.approx([x for _, x in want], rel=1e-4, abs=5e-3)
 
 
 def test_every_state_sums_to_one():
