@@ -140,6 +140,20 @@ def nearest_one(left: DataFrame, right: DataFrame, key: list[str], distance: Col
     return left.join(best.select(*key, F.col("_b._d").alias("distance"), *[F.col(f"_b.{c}").alias(c) for c in columns]), key, "left")
 
 
+def previous(df: DataFrame, keys: list[str], stretch: str, at: str, tie: str, out: str) -> DataFrame:
+    """``out``: the ``at`` of the row before, of the rows of a key in order; null for the first.
+
+    ``stretch`` is a column that grows with ``at`` and cuts a key's rows into
+    stretches. Each is put in order by itself, and begins with the last moment of
+    the stretch before, so no task holds all rows of a key.
+    """
+    within = Window.partitionBy(*keys, stretch).orderBy(at, tie)
+    ends = df.groupBy(*keys, stretch).agg(F.max(at).alias("_end"))
+    carried = ends.select(*keys, stretch, F.lag("_end").over(Window.partitionBy(*keys).orderBy(stretch)).alias("_before"))
+    joined = df.withColumn("_own", F.lag(at).over(within)).join(carried, [*keys, stretch])
+    return joined.withColumn(out, F.coalesce("_own", "_before")).drop("_own", "_before")
+
+
 def expand_days(df: DataFrame, start: str, end: str, day: str = "day") -> DataFrame:
     """A row for each day of an inclusive range."""
     return df.withColumn(day, F.explode(F.sequence(F.col(start), F.col(end), F.expr("interval 1 day"))))

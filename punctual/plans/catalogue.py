@@ -60,9 +60,8 @@ gaps AS (
 
 
 def _gaps(rows: DataFrame) -> DataFrame:
-    w = Window.partitionBy("event_date", "event_type").orderBy("ts", "event_id")
     rows = rows.withColumn("event_date", F.col("ts").cast("date")).withColumn("event_hour", F.hour("ts").cast("long"))
-    return rows.withColumn("gap", elapsed(F.col("ts"), F.lag("ts").over(w)))
+    return op.previous(rows, ["event_date", "event_type"], "event_hour", "ts", "event_id", "before").withColumn("gap", elapsed(F.col("ts"), F.col("before")))
 
 
 @query(f"""WITH {HEADWAY_SQL},
