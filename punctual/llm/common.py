@@ -60,16 +60,29 @@ def scratch(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The same rows from a Parquet table in the shared folder: cuts lineage, survives lost executors, frees the shuffles behind it."""
+def written_at(df: DataFrame, by: str | None = None) -> tuple[DataFrame, str]:
+    """``written``, and where; with ``by``, the values of that column are folders."""
     spark, path = df.sparkSession, scratch(df.sparkSession)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(by) if by else writer).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows from a Parquet table in the shared folder: cuts lineage, survives lost executors, frees the shuffles behind it."""
+    return written_at(df)[0]
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing will read again."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def small(df: DataFrame, rows: int, size: int | None = None) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import U64, bounded_batches, bucket_runs, by_bucket, chunks, hashed, mix, pack, remainder, shuffle_partitions, spans_by, spread, squeeze, texts_of, written
+from punctual.llm.common import U64, bounded_batches, bucket_runs, by_bucket, chunks, discard, hashed, mix, pack, remainder, shuffle_partitions, spans_by, spread, squeeze, texts_of, written, written_at
 
 #: Divergence, in nats, that keeps a symbol; how often it must follow; what is taken off its count.
 TELLING, LEAST, DISCOUNT = 12.0, 2, 0.75
@@ -46,8 +46,8 @@ HOT, HOT_SHARE = 2_000_000, 1e-5
 #: The end of a text, and all symbols that no context can keep, as keys of symbols.
 END_KEY, OTHER = 0xE0D, 0
 _KEY = U64((1 << 48) - 1)
-#: Pairs send the root's log10 probability in steps of 1/5000, and symbols by 24 bits.
-STEP, _SYMBOL = 5000, U64((1 << 24) - 1)
+#: Entries send the suffix's log10 probability in steps of 1/5000, symbols by 24 bits, and contexts of three words by 32 bits beside those of two.
+STEP, _SYMBOL, _LONGER = 5000, U64((1 << 24) - 1), U64((1 << 32) - 1)
 
 ROWS = "chunk long, bucket int, a binary, b binary, c binary, d binary, e binary, x long, y long"
 _KINDS = {"chunk": pa.int64(), "bucket": pa.int32(), **dict.fromkeys("abcde", pa.binary()), "x": pa.int64(), "y": pa.int64()}
@@ -192,6 +192,10 @@ class Entries:
         return self.context[at]
 
 
+def _stepped(logp: np.ndarray) -> np.ndarray:
+    return np.minimum(np.round(-STEP * logp), 65535).astype(np.uint16)
+
+
 def _pairs(t: Texts, buckets: int, root: Root) -> Entries:
     """Pairs of a word and the symbol behind it. Words seen once are no context; symbols seen once are one, that nothing keeps."""
     at = np.flatnonzero(t.before >= 0)
@@ -201,7 +205,7 @@ def _pairs(t: Texts, buckets: int, root: Root) -> Entries:
     code, inverse = np.unique(t.before[at] * width + kept, return_inverse=True)
     n = np.bincount(inverse, weights=t.train[at], minlength=len(code)).astype(np.int32)
     context, symbol = t.key[code // width], np.r_[t.key, np.array([OTHER], U64)][code % width]
-    back = np.minimum(np.round(-STEP * np.r_[t.root, 0.0][code % width]), 65535).astype(np.uint16)
+    back = _stepped(np.r_[t.root, 0.0][code % width])
     dealt = mix(np.where(np.isin(context, root.hot), context ^ mix(symbol), context)) % U64(buckets)
     order = np.lexsort((symbol, context, dealt))
     place = np.empty(len(order), np.int64)
@@ -251,12 +255,13 @@ def _rest(mass: np.ndarray, lost: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(1 - mass, 1e-12) / np.maximum(1 - lost, 1e-12))
 
 
-def _entries(rows: list[dict], columns: int, back: type) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Of a bucket's rows: each row's runs, and the entries' contexts (one array for each of ``columns``), symbols, probabilities (of type ``back``) and counts."""
+def _entries(rows: list[dict], columns: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Of a bucket's rows: each row's runs, and the entries' contexts (one array for each of ``columns``), symbols, log10 probabilities and counts."""
     runs = [spread(r["b"], np.int32) for r in rows]
     heads = [spread(r["a"], U64).reshape(columns, -1) for r in rows]
     contexts = [np.concatenate([np.repeat(h[i], x) for h, x in zip(heads, runs, strict=True)]) for i in range(columns)]
-    return runs, contexts, *(np.concatenate([spread(r[k], kind) for r in rows]) for k, kind in (("c", np.uint32), ("d", back), ("e", np.int32)))
+    symbol, back, n = (np.concatenate([spread(r[k], kind) for r in rows]) for k, kind in (("c", np.uint32), ("d", np.uint16), ("e", np.int32)))
+    return runs, contexts, symbol, back / -STEP, n
 
 
 def _judge_pairs(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.RecordBatch]:
@@ -264,8 +269,8 @@ def _judge_pairs(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.R
     sizes = dict(zip(root.hot.tolist(), root.hot_n.tolist(), strict=True))
     for run in bucket_runs(batches):
         rows = run.to_pylist()
-        runs, (context,), symbol, back, n = _entries(rows, 1, np.uint16)
-        kept, value, factor, sums = judged(context, symbol, back.astype(np.float64) / -STEP, n, sizes)
+        runs, (context,), symbol, back, n = _entries(rows, 1)
+        kept, value, factor, sums = judged(context, symbol, back, n, sizes)
         out, a = [], 0
         for r, own in zip(rows, runs, strict=True):
             b = a + int(own.sum())
@@ -357,11 +362,11 @@ def _branches(t: Texts, score: np.ndarray, told: np.ndarray, buckets: int) -> Br
     context = mix(first * U64(3) + mix(second)) & _KEY
     third = back(t.before, 2, -1)[at]
     more = two[at] & (third >= 0) & (earlier[at] >= 0)
-    longer = np.where(more, mix(t.key[third] * U64(5) + mix(context)) & _KEY, U64(0))
+    longer = np.where(more, mix(t.key[third] * U64(5) + mix(context)) & _LONGER, U64(0))
     symbol = t.key[t.symbol[at]]
     _, first_of, inverse = np.unique(mix(context ^ mix(longer + U64(7))) + mix(symbol), return_index=True, return_inverse=True)
     n = np.bincount(inverse, weights=t.train[at], minlength=len(first_of)).astype(np.int32)
-    context, longer, symbol, known = context[first_of], longer[first_of], symbol[first_of], score[at][first_of].astype(np.float32)
+    context, longer, symbol, known = context[first_of], longer[first_of], symbol[first_of] & _SYMBOL, _stepped(score[at][first_of])
     dealt = (mix(context) % U64(buckets)).astype(np.int64)
     order = np.lexsort((symbol, longer, context, dealt))
     place = np.empty(len(order), np.int64)
@@ -375,13 +380,13 @@ def _judge_branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """What contexts of two and three words add to the score of each entry of a bucket."""
     for run in bucket_runs(batches):
         rows = run.to_pylist()
-        runs, (context, longer), symbol, back, n = _entries(rows, 2, np.float32)
+        runs, (context, longer), symbol, back, n = _entries(rows, 2)
         kept, value, factor, _ = judged(context, symbol, back, n)
         score = np.where(kept, value, back + factor)
         at = np.flatnonzero(longer)
-        kept, value, factor, _ = judged(longer[at], symbol[at], score[at], n[at])
+        kept, value, factor, _ = judged(mix(context[at] ^ mix(longer[at])), symbol[at], score[at], n[at])
         score[at] = np.where(kept, value, score[at] + factor)
-        gain, ends = score - back, np.cumsum([int(x.sum()) for x in runs]).tolist()
+        gain, ends = (score - back).astype(np.float32), np.cumsum([int(x.sum()) for x in runs]).tolist()
         yield _batch([(r["chunk"], r["bucket"], squeeze(gain[a:b])) for r, a, b in zip(rows, [0, *ends], ends, strict=False)])
 
 
@@ -390,7 +395,7 @@ def _scored(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.Record
         ids, held, valid, n_tokens, n_known = spread(r["a"], np.int64).reshape(5, -1)
         base, score = spread(r["b"], np.float64).reshape(2, -1)
         own = {x["bucket"]: x["a"] for x in answers}  # chunks alike have the same answers, each of them
-        gain = np.concatenate([np.zeros(0), *(spread(own[b], np.float64) for b in sorted(own))])
+        gain = np.concatenate([np.zeros(0), *(spread(own[b], np.float32) for b in sorted(own))])
         doc, of = spread(r["c"], np.int32), spread(r["d"], np.int32)
         score = score + np.bincount(doc, weights=gain[of], minlength=len(ids))
         columns = [pa.array(ids, mask=valid == 0), pa.array(held == 1), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(len(ids), root.total, np.int64)), pa.array(base), pa.array(score)]
@@ -423,9 +428,12 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
         found = df.where("chunk is null and octet_length(a) > 8").select("a", "b", "c").collect()
         return [[spread(bytes(r[i]), kind) for i, kind in enumerate(kinds)] for r in found]
 
-    coded = written(rows.mapInArrow(lambda it: _encoded(it, buckets), ROWS))
-    texts = coded.where("bucket is null")
-    counts = written(by_bucket(coded.where("bucket is not null"), tasks).mapInArrow(_counted, ROWS))
+    # Tables are deleted once what is made of them is written.
+    kind = F.when(F.col("bucket").isNull(), "texts").otherwise("words")
+    coded, coded_at = written_at(rows.mapInArrow(lambda it: _encoded(it, buckets), ROWS).withColumn("kind", kind), "kind")
+    texts, words = (coded.where(F.col("kind") == k).drop("kind") for k in ("texts", "words"))
+    counts, counts_at = written_at(by_bucket(words, tasks).mapInArrow(_counted, ROWS))
+    discard(spark, f"{coded_at}/kind=words")
     distinct, total = counts.agg(F.coalesce(F.sum("x"), F.lit(0)), F.coalesce(F.sum("y"), F.lit(0))).first()
     total, distinct = total + ends, distinct + (ends > 0)
     common = told(counts.where(F.col("y") >= HOT), U64, np.int64)
@@ -434,11 +442,12 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2) -> DataFrame:
 
     answers = counts.where("chunk is not null")
     asked = by_bucket(by_chunk(texts, answers).mapInArrow(lambda it: _asked_pairs(it, buckets, root), ROWS), tasks)
-    pairs = written(asked.mapInArrow(lambda it: _judge_pairs(it, root), ROWS))
+    pairs, pairs_at = written_at(asked.mapInArrow(lambda it: _judge_pairs(it, root), ROWS))
     hot_keys, hot_rest = _hot_sums(told(pairs, U64, np.float64, np.float64) if hot else [])
 
     grown = by_chunk(texts, answers, pairs.where("chunk is not null")).mapInArrow(lambda it: _asked_branches(it, buckets, root, hot_keys, hot_rest), ROWS)
     grown = written(grown)
+    discard(spark, coded_at, counts_at, pairs_at)
     gains = by_bucket(grown.where("bucket is not null"), tasks).mapInArrow(_judge_branches, ROWS)
     return by_chunk(grown.where("bucket is null"), gains).mapInArrow(lambda it: _scored(it, root), SCORES)
 
