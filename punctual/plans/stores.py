@@ -10,11 +10,13 @@ from __future__ import annotations
 import csv
 import gzip
 import io
+import sys
 import zipfile
 from collections.abc import Callable, Iterator
 from datetime import date, datetime, timedelta
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +24,14 @@ from punctual import session
 from punctual.functions import timeline
 from punctual.operators import relational, reducers
 from punctual.plans import facts, merge
+from punctual.plans.catalogue import table
 from punctual.plans.marts import Marts
 from punctual.plans.service import _WORLD, VIEWS, _over, register, shown, world
-from punctual.plans.catalogue import table
 from punctual.sources import feed, files, timetable
 from punctual.streaming import hourly
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SOURCES = ("events", "orders", "customer", "supplier", "nation", "region")
 LABELS = ("2026-09-01T000000Z", "2026-09-02T000000Z")
 SPAN = (date(2026, 3, 25), date(2026, 10, 15))
@@ -315,9 +319,9 @@ TWINS = {
     "pulls": "SELECT path, CASE WHEN size = 7 THEN 'delete' ELSE 'download' END AS action FROM listed WHERE CASE WHEN size = 7 THEN true WHEN size % 5 = 0 THEN true ELSE size % 13 = 0 OR size % 11 = 0 END",
     "instants_as_text": "SELECT event_id, strftime(fetched_at_utc, '%Y-%m-%dT%H:%M:%S.%fZ') AS fetched_at_utc FROM clocked",
     "frozen": "SELECT * FROM scheduled_trip",
-    "streamed_partials": """SELECT date_trunc('hour', fetched_at_utc) AS hour, start_date, trip_id, stop_id, stop_sequence, count(*) FILTER (WHERE real) AS n_updates, make_timestamp(nullif(arg_max(coalesce(dep_time, 0), {'s': seen_at, 'n': n, 'i': i}) FILTER (WHERE real), 0)::BIGINT * 1000000) AS final_predicted_departure_utc,
-      arg_max(relationship, {'s': seen_at, 'n': n, 'i': i}) FILTER (WHERE real) AS schedule_relationship, max(seen_at) FILTER (WHERE real) AS last_update_at_utc, max(seen_at) AS last_observed_at_utc
-      FROM (SELECT *, relationship IN ('SCHEDULED', 'SKIPPED') AS real, coalesce(make_timestamp(nullif(stamp, 0)::BIGINT * 1000000), fetched_at_utc) AS seen_at FROM poll_stop) GROUP BY ALL
+    "streamed_partials": """SELECT date_trunc('hour', fetched_at_utc) AS hour, start_date, trip_id, stop_id, stop_sequence, count(*) FILTER (WHERE is_real) AS n_updates, make_timestamp(nullif(arg_max(coalesce(dep_time, 0), {'s': seen_at, 'n': n, 'i': i}) FILTER (WHERE is_real), 0)::BIGINT * 1000000) AS final_predicted_departure_utc,
+      arg_max(relationship, {'s': seen_at, 'n': n, 'i': i}) FILTER (WHERE is_real) AS schedule_relationship, max(seen_at) FILTER (WHERE is_real) AS last_update_at_utc, max(seen_at) AS last_observed_at_utc
+      FROM (SELECT *, relationship IN ('SCHEDULED', 'SKIPPED') AS is_real, coalesce(make_timestamp(nullif(stamp, 0)::BIGINT * 1000000), fetched_at_utc) AS seen_at FROM poll_stop) GROUP BY ALL
       HAVING date_trunc('hour', fetched_at_utc) + INTERVAL 1 HOUR <= (SELECT max(fetched_at_utc) - INTERVAL 10 MINUTE FROM poll_stop)""",
     "streamed_sightings": "SELECT DISTINCT vehicle_id, observed_at_utc, lat, lon FROM sighting",
     "streamed_days": "SELECT service_date, route_id, count(*) AS n, max(stop_sequence) AS last FROM call_row GROUP BY ALL",
