@@ -319,10 +319,10 @@ TWINS = {
     "pulls": "SELECT path, CASE WHEN size = 7 THEN 'delete' ELSE 'download' END AS action FROM listed WHERE CASE WHEN size = 7 THEN true WHEN size % 5 = 0 THEN true ELSE size % 13 = 0 OR size % 11 = 0 END",
     "instants_as_text": "SELECT event_id, strftime(fetched_at_utc, '%Y-%m-%dT%H:%M:%S.%fZ') AS fetched_at_utc FROM clocked",
     "frozen": "SELECT * FROM scheduled_trip",
-    "streamed_partials": """SELECT date_trunc('hour', fetched_at_utc) AS hour, start_date, trip_id, stop_id, stop_sequence, count(*) FILTER (WHERE is_real) AS n_updates, make_timestamp(nullif(arg_max(coalesce(dep_time, 0), {'s': seen_at, 'n': n, 'i': i}) FILTER (WHERE is_real), 0)::BIGINT * 1000000) AS final_predicted_departure_utc,
+    "streamed_partials": """SELECT hour, start_date, trip_id, stop_id, stop_sequence, count(*) FILTER (WHERE is_real) AS n_updates, make_timestamp(nullif(arg_max(coalesce(dep_time, 0), {'s': seen_at, 'n': n, 'i': i}) FILTER (WHERE is_real), 0)::BIGINT * 1000000) AS final_predicted_departure_utc,
       arg_max(relationship, {'s': seen_at, 'n': n, 'i': i}) FILTER (WHERE is_real) AS schedule_relationship, max(seen_at) FILTER (WHERE is_real) AS last_update_at_utc, max(seen_at) AS last_observed_at_utc
-      FROM (SELECT *, relationship IN ('SCHEDULED', 'SKIPPED') AS is_real, coalesce(make_timestamp(nullif(stamp, 0)::BIGINT * 1000000), fetched_at_utc) AS seen_at FROM poll_stop) GROUP BY ALL
-      HAVING date_trunc('hour', fetched_at_utc) + INTERVAL 1 HOUR <= (SELECT max(fetched_at_utc) - INTERVAL 10 MINUTE FROM poll_stop)""",
+      FROM (SELECT *, date_trunc('hour', fetched_at_utc) AS hour, relationship IN ('SCHEDULED', 'SKIPPED') AS is_real, coalesce(make_timestamp(nullif(stamp, 0)::BIGINT * 1000000), fetched_at_utc) AS seen_at FROM poll_stop)
+      WHERE hour + INTERVAL 1 HOUR <= (SELECT max(fetched_at_utc) - INTERVAL 10 MINUTE FROM poll_stop) GROUP BY hour, start_date, trip_id, stop_id, stop_sequence""",
     "streamed_sightings": "SELECT DISTINCT vehicle_id, observed_at_utc, lat, lon FROM sighting",
     "streamed_days": "SELECT service_date, route_id, count(*) AS n, max(stop_sequence) AS last FROM call_row GROUP BY ALL",
 }
@@ -337,3 +337,35 @@ def _run(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def ctes() -> dict[str, str]:
     return facts._FACTS | _WORLD | VIEWS | _MADE | TWINS
+
+
+#: The registered queries and their columns.
+COLUMNS = {
+    "w01_snapshots": "c_custkey bigint, c_name string, c_nationkey int, valid_from string",
+    "w01b_newest_snapshot": "c_custkey bigint, c_name string, c_nationkey int",
+    "w02_day_facts": "service_date date, n_read bigint, total double, last_route string, n_written bigint",
+    "w03_chosen_hours": "event_id bigint, value double, dt string, hour string",
+    "w05_optional": "r_regionkey bigint, r_name string",
+    "w06_seeds": "n_nationkey int, n_name string, score double",
+    "w07_centres": "centre_id string, centre_name string, tier string, latitude double, longitude double, source string",
+    "w08_audits": "key bigint, name string, error string",
+    "w10_vintages": "s_suppkey bigint, s_acctbal double, vintage date",
+    "w12_timetable_stops": "stop_id string, stop_name string, stop_lat double, stop_lon double, wheelchair_boarding string",
+    "w12b_timetable_agencies": "agency_id string, agency_name string, agency_url string, agency_timezone string",
+    "w16_decoded_updates": "fetched_at_utc timestamp, trip_id string, route_id string, start_date string, start_time string, trip_relationship string, has_vehicle boolean, stamp bigint, stop_id string, stop_sequence int, relationship string, arrival_time bigint, arrival_delay int, departure_time bigint",
+    "w16b_decoded_positions": "fetched_at_utc timestamp, observed_at_utc timestamp, position_age_s double, vehicle_id string, trip_id string, route_id string, lat double, lon double, occupancy_status string, null_island boolean",
+    "w15_key_times": "event_id bigint, fetched_at_utc timestamp",
+    "w22_clock_skew": "event_id bigint, fetched_at_utc timestamp, received_at_utc timestamp, server_date_utc timestamp, rtt_s double, skew_s double",
+    "w25_attachments": "event_id bigint, name string",
+    "w30_day_hours": "day date, hours int, expected int, own int, window_start timestamp, window_end timestamp, first_dt string, last_dt string",
+    "w12c_roundings": "event_id bigint, nearest int, no_number int, small smallint, day date",
+    "w08b_upserts": "k bigint, state string, total double",
+    "w06b_pulls": "path string, action string",
+    "w31_instants_as_text": "event_id bigint, fetched_at_utc string",
+    "w07b_frozen": "service_date date, trip_id string, route_id string, direction_id string, is_timetabled boolean",
+    "s02_streamed_partials": "hour timestamp, start_date string, trip_id string, stop_id string, stop_sequence int, n_updates int, final_predicted_departure_utc timestamp, schedule_relationship string, last_update_at_utc timestamp, last_observed_at_utc timestamp",
+    "s08c_streamed_sightings": "vehicle_id string, observed_at_utc timestamp, lat double, lon double",
+    "s09_streamed_days": "route_id string, n bigint, last int, service_date date",
+}
+
+register(COLUMNS, _run, ctes())

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import gzip
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -108,18 +108,32 @@ def _event(stop, name: str) -> dict | None:
     return {"time": known(e, "time"), "delay": known(e, "delay")}
 
 
-def _updates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    kind = message_type()
+#: Rows that a task hands on at once.
+BATCH = 20_000
+
+
+def _batches(frames: Iterator[pd.DataFrame], columns: list[str], rows_of: Callable) -> Iterator[pd.DataFrame]:
+    """The rows of all messages, a bounded number at a time."""
+    kind, held = message_type(), []
     for frame in frames:
         for at, content in zip(frame["fetched_at_utc"], frame["content"], strict=True):
-            rows = []
-            for n, entity in enumerate(decode(bytes(content), kind).entity):
-                if not entity.HasField("trip_update"):
-                    continue
-                u = entity.trip_update
-                stops = [{"stop_id": s.stop_id, "stop_sequence": known(s, "stop_sequence"), "relationship": ENUMS["StopRelation"].get(s.schedule_relationship), "arrival": _event(s, "arrival"), "departure": _event(s, "departure")} for s in u.stop_time_update]
-                rows.append((at, n, u.trip.trip_id, u.trip.route_id, u.trip.start_date, u.trip.start_time, named(u.trip, "schedule_relationship", "TripRelation"), u.HasField("vehicle"), known(u, "timestamp"), stops))
-            yield pd.DataFrame(rows, columns=["fetched_at_utc", "n", "trip_id", "route_id", "start_date", "start_time", "trip_relationship", "has_vehicle", "stamp", "stops"])
+            held += rows_of(at, decode(bytes(content), kind))
+            if len(held) >= BATCH:
+                yield pd.DataFrame(held, columns=columns)
+                held = []
+    yield pd.DataFrame(held, columns=columns)
+
+
+def _update_rows(at: pd.Timestamp, message) -> Iterator[tuple]:
+    for n, entity in enumerate(message.entity):
+        if entity.HasField("trip_update"):
+            u = entity.trip_update
+            stops = [{"stop_id": s.stop_id, "stop_sequence": known(s, "stop_sequence"), "relationship": ENUMS["StopRelation"].get(s.schedule_relationship), "arrival": _event(s, "arrival"), "departure": _event(s, "departure")} for s in u.stop_time_update]
+            yield at, n, u.trip.trip_id, u.trip.route_id, u.trip.start_date, u.trip.start_time, named(u.trip, "schedule_relationship", "TripRelation"), u.HasField("vehicle"), known(u, "timestamp"), stops
+
+
+def _updates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    yield from _batches(frames, ["fetched_at_utc", "n", "trip_id", "route_id", "start_date", "start_time", "trip_relationship", "has_vehicle", "stamp", "stops"], _update_rows)
 
 
 def trip_updates(raw: DataFrame) -> DataFrame:
@@ -130,18 +144,16 @@ def trip_updates(raw: DataFrame) -> DataFrame:
 POSITIONS = "observed_at_utc timestamp, fetched_at_utc timestamp, position_age_s double, vehicle_id string, vehicle_label string, trip_id string, route_id string, lat double, lon double, bearing double, speed double, occupancy_status string, congestion_level string, schedule_relationship string, current_status string, null_island boolean"
 
 
+def _position_rows(at: pd.Timestamp, message) -> Iterator[tuple]:
+    for entity in message.entity:
+        if entity.HasField("vehicle"):
+            v = entity.vehicle
+            seen, lat, lon = pd.Timestamp(v.timestamp, unit="s"), float(v.position.latitude), float(v.position.longitude)
+            yield seen, at, (at - seen).total_seconds(), v.vehicle.id, known(v.vehicle, "label"), v.trip.trip_id, v.trip.route_id, lat, lon, known(v.position, "bearing"), known(v.position, "speed"), named(v, "occupancy_status", "Occupancy"), named(v, "congestion_level", "Congestion"), named(v.trip, "schedule_relationship", "TripRelation"), named(v, "current_status", "StopStatus"), lat == 0 and lon == 0
+
+
 def _positions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    kind = message_type()
-    for frame in frames:
-        for at, content in zip(frame["fetched_at_utc"], frame["content"], strict=True):
-            rows = []
-            for entity in decode(bytes(content), kind).entity:
-                if not entity.HasField("vehicle"):
-                    continue
-                v = entity.vehicle
-                seen, lat, lon = pd.Timestamp(v.timestamp, unit="s"), float(v.position.latitude), float(v.position.longitude)
-                rows.append((seen, at, (at - seen).total_seconds(), v.vehicle.id, known(v.vehicle, "label"), v.trip.trip_id, v.trip.route_id, lat, lon, known(v.position, "bearing"), known(v.position, "speed"), named(v, "occupancy_status", "Occupancy"), named(v, "congestion_level", "Congestion"), named(v.trip, "schedule_relationship", "TripRelation"), named(v, "current_status", "StopStatus"), lat == 0 and lon == 0))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in POSITIONS.split(", ")])
+    yield from _batches(frames, [c.split()[0] for c in POSITIONS.split(", ")], _position_rows)
 
 
 def vehicle_positions(raw: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from punctual.plans import catalogue, facts, service
+from punctual.plans import catalogue, facts, service, stores  # noqa: F401
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables here")
