@@ -46,7 +46,7 @@ HOT, HOT_SHARE = 2_000_000, 1e-5
 #: The end of a text, and all symbols that no context can keep, as keys of symbols.
 END_KEY, OTHER = 0xE0D, 0
 _KEY = U64((1 << 48) - 1)
-#: Entries send the suffix's log10 probability in steps of 1/5000, symbols by 24 bits, and contexts of three words by 32 bits beside those of two.
+#: Entries and answers have log10 probabilities in steps of 1/5000, symbols by 24 bits, and contexts of three words by 32 bits beside those of two.
 STEP, _SYMBOL, _LONGER = 5000, U64((1 << 24) - 1), U64((1 << 32) - 1)
 
 ROWS = "chunk long, bucket int, a binary, b binary, c binary, d binary, e binary, x long, y long"
@@ -193,7 +193,7 @@ class Entries:
 
 
 def _stepped(logp: np.ndarray) -> np.ndarray:
-    return np.minimum(np.round(-STEP * logp), 65535).astype(np.uint16)
+    return np.clip(np.round(-STEP * logp), 0, 65535).astype(np.uint16)
 
 
 def _pairs(t: Texts, buckets: int, root: Root) -> Entries:
@@ -275,7 +275,7 @@ def _judge_pairs(batches: Iterator[pa.RecordBatch], root: Root) -> Iterator[pa.R
         for r, own in zip(rows, runs, strict=True):
             b = a + int(own.sum())
             first = a + np.cumsum(own) - own
-            out.append((r["chunk"], r["bucket"], None, squeeze(np.packbits(kept[a:b])), squeeze(value[a:b][kept[a:b]].astype(np.float32)), squeeze(factor[first].astype(np.float32))))
+            out.append((r["chunk"], r["bucket"], None, squeeze(np.packbits(kept[a:b])), squeeze(_stepped(value[a:b][kept[a:b]])), squeeze(_stepped(factor[first]))))
             a = b
         yield _batch([*out, (None, None, squeeze(sums[0]), squeeze(sums[1]), squeeze(sums[2]))])
 
@@ -289,8 +289,8 @@ def _told(pairs: Entries, answers: list[dict]) -> tuple[np.ndarray, np.ndarray]:
         r = own[int(pairs.bucket[a])]
         good = np.unpackbits(spread(r["b"], np.uint8), count=b - a).astype(bool)
         _, group = spans_by(pairs.context[a:b])
-        found = spread(r["d"], np.float32)[group].astype(np.float64)
-        found[good] = spread(r["c"], np.float32)
+        found = spread(r["d"], np.uint16)[group] / -STEP
+        found[good] = spread(r["c"], np.uint16) / -STEP
         kept[a:b], value[a:b] = good, found
     return kept, value
 
