@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 from punctual.llm import decontaminate, langid, minhash, mixing, substring
 from punctual.llm.common import small, table, written
 
-#: How much likelier than by chance a text's language must be; with one language to choose from, all texts have it.
-OVER_CHANCE = 1.2
+#: Probability that a text's language must have, and how much more than by chance where few languages make chance likelier.
+LEAST_SURE, OVER_CHANCE = 0.3, 1.02
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: no text, no letter or no language clearly likelier than by chance, and they go."""
+    """Documents in a known language: no text, no letter or no language likelier than LEAST_SURE and than by chance, and they go.
+
+    With one language to choose from, all lettered texts are in it.
+    """
     net = langid.fit(docs)
     n = len(net.langs) if net else 0
-    return langid.accepted(docs, net, OVER_CHANCE / n if n > 1 else 0.0)
+    return langid.accepted(docs, net, max(LEAST_SURE, OVER_CHANCE / n) if n > 1 else 0.0)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
