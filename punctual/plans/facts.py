@@ -19,7 +19,7 @@ from punctual.functions.timeline import ZONE
 from punctual.operators import reducers
 from punctual.plans import checks, geography, merge
 from punctual.plans.catalogue import table
-from punctual.plans.service import _SECONDS, _WALL, _clock, _over, register, shown
+from punctual.plans.service import _SECONDS, _WALL, DAYS, A, B, C, _clock, _over, register, shown
 
 SOURCES = ("events", "orders", "lineitem", "supplier", "part", "customer", "nation")
 DAY = date(2026, 9, 22)
@@ -66,6 +66,9 @@ def facts_sql(plus: Callable[[str, str], str], epoch: Callable[[str], str]) -> d
         "block": f"""SELECT 'b' || lpad(CAST(b AS STRING), 10, '0') AS mesh_block_code, {', '.join(f"'{c[:3]}' || CAST(b % {7 + i} AS STRING) AS {c}" for i, c in enumerate(geography.AREA[1:]))},
           CAST(151 + (b % 12) / CAST(32 AS DOUBLE) AS DOUBLE) AS x1, CAST(151 + (b % 12 + 1) / CAST(32 AS DOUBLE) AS DOUBLE) AS x2, CAST(-34 + floor(b / 12) / CAST(32 AS DOUBLE) AS DOUBLE) AS y1, CAST(-34 + (floor(b / 12) + 1) / CAST(32 AS DOUBLE) AS DOUBLE) AS y2
           FROM (SELECT DISTINCT p_partkey % 144 AS b FROM part) AS p WHERE b % 17 <> 0""",
+        "local": "SELECT 'g' || CAST(c AS STRING) AS lga_code, 'Council ' || CAST(c AS STRING) AS lga_name, CAST(151 + c % 3 / CAST(8 AS DOUBLE) AS DOUBLE) AS x1, CAST(151 + (c % 3 + 1) / CAST(8 AS DOUBLE) AS DOUBLE) AS x2, CAST(-34 + floor(c / 3) / CAST(8 AS DOUBLE) AS DOUBLE) AS y1, CAST(-34 + (floor(c / 3) + 1) / CAST(8 AS DOUBLE) AS DOUBLE) AS y2 FROM (SELECT DISTINCT n_nationkey % 9 AS c FROM nation) AS n WHERE c <> 4",
+        "score": f"""SELECT sa1_code, CAST(k * 70 AS INT) AS usual_resident_population, {', '.join(f"CAST(CASE WHEN k % {3 + i} <> 1 THEN 900 + k * {i + 1} END AS DOUBLE) AS {n}_score, CAST(1 + k % 10 AS SMALLINT) AS {n}_national_decile, CAST(1 + (k + {i}) % 10 AS SMALLINT) AS {n}_state_decile, k % {4 + i} = 0 AS {n}_excluded" for i, n in enumerate(geography.INDEXES))}
+          FROM (SELECT DISTINCT sa1_code, CAST(substr(sa1_code, 4) AS INT) AS k FROM (SELECT 'sa1' || CAST(p_partkey % 144 % 7 AS STRING) AS sa1_code FROM part WHERE p_partkey % 144 % 17 <> 0) AS b) AS s WHERE k <> 5""",
         "place": "SELECT 'p' || CAST(s_suppkey AS STRING) AS stop_id, CAST(-34 + (s_suppkey * 5 % 83) / CAST(256 AS DOUBLE) AS DOUBLE) AS stop_lat, CAST(151 + (s_suppkey * 7 % 109) / CAST(256 AS DOUBLE) AS DOUBLE) AS stop_lon FROM supplier",
         "centre": "SELECT CAST(n_nationkey AS STRING) AS centre_id, n_name AS centre_name, CAST(-34 + n_nationkey * 0.013 AS DOUBLE) AS latitude, CAST(151 + n_nationkey * 7 % 25 * 0.017 AS DOUBLE) AS longitude FROM nation",
         "sheet": """SELECT CASE WHEN p_partkey % 9 = 0 THEN 'note' ELSE lpad(CAST(p_partkey AS STRING), 11, '1') END AS A, CASE WHEN p_partkey % 7 = 0 THEN 'np' ELSE CAST(p_size * 9 AS STRING) END AS B, CASE WHEN p_partkey % 8 = 0 THEN '-' ELSE CAST(p_size AS STRING) || '.25' END AS C,
@@ -90,10 +93,38 @@ def updates(polls: DataFrame) -> DataFrame:
     return packed.withColumn("stops", F.transform("stops", lambda s: s.dropFields("i")))
 
 
-def _blocks(t: dict[str, DataFrame]) -> DataFrame:
+def boxes(df: DataFrame) -> DataFrame:
+    """Corners as polygons."""
     corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
     ring = F.array(corner("x1", "y1"), corner("x2", "y1"), corner("x2", "y2"), corner("x1", "y2"), corner("x1", "y1"))
-    return geography.clipped(t["block"].withColumn("geom", F.array(ring).cast(POLYGON)).drop("x1", "x2", "y1", "y2"))
+    return df.withColumn("geom", F.array(ring).cast(POLYGON)).drop("x1", "x2", "y1", "y2")
+
+
+def _blocks(t: dict[str, DataFrame]) -> DataFrame:
+    return geography.clipped(boxes(t["block"]))
+
+
+def _lgas(t: dict[str, DataFrame]) -> DataFrame:
+    return geography.clipped(boxes(t["local"]))
+
+
+def _published(t: dict[str, DataFrame]) -> DataFrame:
+    return geography.stop_geography(t["place"], _blocks(t), _lgas(t), t["centre"], _counts(t), t["score"], _build(t), cbd="0")
+
+
+def _snapshot_choice(t: dict[str, DataFrame]) -> DataFrame:
+    rows = [(d, *merge.snapshot_for([A, B, C], d)) for d in map(date.fromisoformat, DAYS)]
+    return t["block"].sparkSession.createDataFrame(rows, "day date, label string, borrowed boolean")
+
+
+def _coverage(t: dict[str, DataFrame]) -> DataFrame:
+    own = {"trip_stop": "partial_call", "trip": "partial_trip", "vehicle_position": "partial_position"}
+    present = None
+    for name, given in own.items():
+        rows = t[given].where("hour <> '07'").select(F.lit(name).alias("table"), "dt", "hour").distinct()
+        present = rows if present is None else present.union(rows)
+    found = checks.partial_coverage(DAY, present)
+    return present.sparkSession.createDataFrame([tuple(found[k] for k in ("objects_expected", "objects_read", "short"))], "objects_expected long, objects_read long, short boolean")
 
 
 def _sheets(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -159,6 +190,11 @@ RUNS: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
     "stop_nearest_block": lambda t: geography.stop_nearest_block(t["place"], geography.stop_mesh_block(t["place"], _blocks(t)).select("stop_id"), _blocks(t)),
     "stop_area": lambda t: geography.stop_area(t["place"], _blocks(t)),
     "stop_centre": lambda t: geography.stop_centre(t["place"], t["centre"]),
+    "stop_lga": lambda t: geography.stop_lga(t["place"], _lgas(t)),
+    "published_geography": _published,
+    "build_report": lambda t: geography.build_report(_published(t)),
+    "snapshot_choice": _snapshot_choice,
+    "partial_coverage": _coverage,
     "block_anchors": lambda t: geography.anchors(_blocks(t)).select("mesh_block_code", "anchor_lat", "anchor_lon"),
     "stop_block_pairs": _pairs,
     "legs_status": lambda t: t["leg"].withColumn("status", geography.routing_status(F.col("snap_m"), F.col("distance_m"))),
@@ -245,6 +281,16 @@ TWINS = {
       QUALIFY row_number() OVER (PARTITION BY stop_id ORDER BY pow(px - stop_lon, 2) + pow(py - stop_lat, 2), mesh_block_code) = 1""",
     "stop_area": f"SELECT stop_id, {_AREA}, 'inside' AS geography_match, 0.0 AS geography_match_distance_m, boundary_tie FROM stop_mesh_block UNION ALL SELECT stop_id, {_AREA}, 'nearest', distance_m, false FROM stop_nearest_block",
     "stop_centre": f"SELECT stop_id, centre_id AS nearest_centre_id, centre_name AS nearest_centre_name, d AS distance_to_nearest_centre_m FROM (SELECT *, {_METRES('stop_lat', 'stop_lon', 'latitude', 'longitude')} AS d FROM place CROSS JOIN centre) QUALIFY row_number() OVER (PARTITION BY stop_id ORDER BY d, centre_id) = 1",
+    "stop_lga": "SELECT stop_id, lga_code, lga_name FROM place JOIN local ON stop_lon BETWEEN x1 AND x2 AND stop_lat BETWEEN y1 AND y2 QUALIFY row_number() OVER (PARTITION BY stop_id ORDER BY lga_code) = 1",
+    "published_geography": f"""SELECT stop_id, stop_lat, stop_lon, a.mesh_block_code, CASE WHEN b.mesh_block_code IS NOT NULL THEN 'Residential' END AS mesh_block_category, {', '.join(f'a.{c}' for c in geography.AREA[1:])}, lga_code, lga_name, geography_match, geography_match_distance_m, boundary_tie,
+      {', '.join(f's.{n}_{x}' for n in geography.INDEXES for x in ('score', 'national_decile', 'state_decile'))}, s.usual_resident_population AS sa1_usual_resident_population, coalesce(s.irsd_excluded, false) AS seifa_irsd_excluded,
+      {_METRES('c.latitude', 'c.longitude', 'stop_lat', 'stop_lon')} AS distance_to_cbd_m, nearest_centre_id, nearest_centre_name, distance_to_nearest_centre_m, DATE '2026-09-22' AS vintage
+      FROM place LEFT JOIN stop_area a USING (stop_id) LEFT JOIN stop_lga USING (stop_id) LEFT JOIN stop_centre USING (stop_id) LEFT JOIN block b ON b.mesh_block_code = a.mesh_block_code LEFT JOIN score s ON s.sa1_code = a.sa1_code CROSS JOIN (SELECT * FROM centre WHERE centre_id = '0') c""",
+    "build_report": "SELECT count(*) AS stops, count(*) FILTER (WHERE geography_match = 'inside') AS inside, count(*) FILTER (WHERE geography_match = 'nearest') AS nearest, count(*) FILTER (WHERE boundary_tie) AS boundary_ties, count(*) FILTER (WHERE irsd_score IS NULL) AS unscored FROM published_geography",
+    "labelled": f"SELECT label, (strptime(label, '%Y-%m-%dT%H%M%SZ') AT TIME ZONE 'UTC' AT TIME ZONE '{ZONE}')::DATE AS since FROM (VALUES ('{A}'), ('{B}'), ('{C}')) t(label)",
+    "snapshot_choice": f"SELECT day, coalesce((SELECT max(label) FROM labelled WHERE since <= day), (SELECT min(label) FROM labelled)) AS label, NOT EXISTS (SELECT 1 FROM labelled WHERE since <= day) AS borrowed FROM (VALUES {', '.join(f'(DATE {chr(39)}{d}{chr(39)})' for d in DAYS)}) t(day)",
+    "owed": f"SELECT tbl, strftime(h, '%Y-%m-%d') AS dt, strftime(h, '%H') AS hour FROM (SELECT unnest(generate_series({_WALL(f"DATE '{DAY}'", '-3600')}, {_WALL(f"DATE '{DAY}'", '86400 + 25200')} - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS h) CROSS JOIN (VALUES ('trip_stop'), ('trip'), ('vehicle_position')) t(tbl)",
+    "partial_coverage": """SELECT (SELECT count(*) FROM owed) AS objects_expected, n AS objects_read, n < (SELECT count(*) FROM owed) AS short FROM (SELECT count(*) AS n FROM owed WHERE hour <> '07' AND (tbl, dt, hour) IN (SELECT ('trip_stop', dt, hour) FROM partial_call UNION SELECT ('trip', dt, hour) FROM partial_trip UNION SELECT ('vehicle_position', dt, hour) FROM partial_position))""",
     "block_anchors": "SELECT mesh_block_code, sa1_code, (y1 + y2) / 2 + (y2 - y1) * 1e-7 AS anchor_lat, (x1 + x2) / 2 AS anchor_lon FROM block",
     "stop_block_pairs": f"""SELECT stop_id, mesh_block_code, d AS straight_line_distance_m, NULL::DOUBLE AS network_distance_m, NULL::DOUBLE AS network_duration_s, 'not_attempted' AS routing_status, substr(mesh_block_code, 2)::INT % 90 AS person_count, substr(mesh_block_code, 2)::INT % 40 AS dwelling_count, 'Residential' AS mesh_block_category, sa1_code, 0.5 AS area_sqkm, DATE '2026-09-22' AS vintage
       FROM (SELECT *, {_METRES('anchor_lat', 'anchor_lon', 'stop_lat', 'stop_lon')} AS d FROM place JOIN block_anchors ON {_REACHES}) WHERE d <= 1600""",
@@ -296,6 +342,11 @@ COLUMNS = {
     "v48b_stop_block_routed": "stop_id string, mesh_block_code string, straight_line_distance_m double, person_count int, dwelling_count int, mesh_block_category string, sa1_code string, area_sqkm double, vintage date, network_distance_m double, network_duration_s double, routing_status string, detour_ratio double",
     "v48c_unrouted": "stop_id string, mesh_block_codes string",
     "v49_publish_checks": "pairs bigint, routed bigint, median_detour double, impossible_detours bigint",
+    "v46c_stop_lga": "stop_id string, lga_code string, lga_name string",
+    "v46d_published_geography": "stop_id string, stop_lat double, stop_lon double, mesh_block_code string, mesh_block_category string, sa1_code string, sa2_code string, sa2_name string, sa3_code string, sa3_name string, sa4_code string, sa4_name string, gccsa_code string, gccsa_name string, lga_code string, lga_name string, geography_match string, geography_match_distance_m double, boundary_tie boolean, irsd_score double, irsd_national_decile smallint, irsd_state_decile smallint, irsad_score double, irsad_national_decile smallint, irsad_state_decile smallint, ier_score double, ier_national_decile smallint, ier_state_decile smallint, ieo_score double, ieo_national_decile smallint, ieo_state_decile smallint, sa1_usual_resident_population int, seifa_irsd_excluded boolean, distance_to_cbd_m double, nearest_centre_id string, nearest_centre_name string, distance_to_nearest_centre_m double, vintage date",
+    "v49b_build_report": "stops bigint, inside bigint, nearest bigint, boundary_ties bigint, unscored bigint",
+    "v35_snapshot_choice": "day date, label string, borrowed boolean",
+    "v39_partial_coverage": "objects_expected bigint, objects_read bigint, short boolean",
 }
 
 register(COLUMNS, _run, _FACTS | TWINS)

@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from punctual import session
 from punctual.functions import timeline
 from punctual.operators import relational, reducers
-from punctual.plans import facts, merge
+from punctual.plans import facts, geography, merge
 from punctual.plans.catalogue import table
 from punctual.plans.marts import Marts
 from punctual.plans.service import _WORLD, VIEWS, _over, register, shown, world
-from punctual.sources import feed, files, timetable
+from punctual.sources import feed, files, shapes, timetable
 from punctual.streaming import hourly
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -255,6 +255,24 @@ def frozen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.freeze("scheduled_trip", f"{hourly.scratch(spark)}/scheduled_trip")
 
 
+def geojson_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks as a feature collection, and the stops within them."""
+    path, t = f"{hourly.scratch(spark)}/blocks.geojson", facts.facts(spark, sf_dir)
+    ring = F.array(*[F.array(x, y) for x, y in (("x1", "y1"), ("x2", "y1"), ("x2", "y2"), ("x1", "y2"), ("x1", "y1"))])
+    of = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("mesh_block_code").alias("MB"), *[F.col(c) for c in geography.AREA[1:]]).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    whole = t["block"].agg(F.collect_list(of).alias("features")).select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")))  # at most 144 blocks
+    whole.coalesce(1).write.text(path)
+    blocks = geography.clipped(shapes.read_geojson(spark, path, {"mesh_block_code": "MB", **{c: c for c in geography.AREA[1:]}}))
+    return geography.stop_mesh_block(t["place"], blocks)
+
+
+def sheet_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A worksheet's export without a heading, all text."""
+    path, names = hourly.scratch(spark), ("A", "B", "C", "D")
+    facts.facts(spark, sf_dir)["sheet"].select(*names).coalesce(1).write.csv(path)
+    return shapes.read_sheet(spark, path)
+
+
 def _streamed(spark: SparkSession, rows: DataFrame) -> DataFrame:
     path = hourly.scratch(spark)
     rows.write.parquet(path)
@@ -287,7 +305,7 @@ def streamed_days(spark: SparkSession, t: dict[str, DataFrame]) -> DataFrame:
 RUNS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f.__name__: (lambda spark, d, f=f: f(spark, _tables(spark, d))) for f in (snapshots, newest_snapshot, day_facts, chosen_hours, optional, seeds, centres, audits, vintages, timetable_stops, timetable_agencies, decoded_positions, key_times, clock_skew, attachments, day_hours, roundings, upserts, pulls, instants_as_text, streamed_days)},
     "decoded_updates": lambda spark, d: decoded_updates(spark, {}, d),
-    **{f.__name__: f for f in (frozen, streamed_partials, streamed_sightings)},
+    **{f.__name__: f for f in (frozen, geojson_blocks, sheet_text, streamed_partials, streamed_sightings)},
 }
 
 _MADE = stores_sql(lambda t, n: f"({t} + to_seconds({n}))")
@@ -319,6 +337,8 @@ TWINS = {
     "pulls": "SELECT path, CASE WHEN size = 7 THEN 'delete' ELSE 'download' END AS action FROM listed WHERE CASE WHEN size = 7 THEN true WHEN size % 5 = 0 THEN true ELSE size % 13 = 0 OR size % 11 = 0 END",
     "instants_as_text": "SELECT event_id, strftime(fetched_at_utc, '%Y-%m-%dT%H:%M:%S.%fZ') AS fetched_at_utc FROM clocked",
     "frozen": "SELECT * FROM scheduled_trip",
+    "geojson_blocks": facts.TWINS["stop_mesh_block"],
+    "sheet_text": "SELECT A, B, C, D FROM sheet",
     "streamed_partials": """SELECT hour, start_date, trip_id, stop_id, stop_sequence, count(*) FILTER (WHERE is_real) AS n_updates, make_timestamp(nullif(arg_max(coalesce(dep_time, 0), {'s': seen_at, 'n': n, 'i': i}) FILTER (WHERE is_real), 0)::BIGINT * 1000000) AS final_predicted_departure_utc,
       arg_max(relationship, {'s': seen_at, 'n': n, 'i': i}) FILTER (WHERE is_real) AS schedule_relationship, max(seen_at) FILTER (WHERE is_real) AS last_update_at_utc, max(seen_at) AS last_observed_at_utc
       FROM (SELECT *, date_trunc('hour', fetched_at_utc) AS hour, relationship IN ('SCHEDULED', 'SKIPPED') AS is_real, coalesce(make_timestamp(nullif(stamp, 0)::BIGINT * 1000000), fetched_at_utc) AS seen_at FROM poll_stop)
@@ -336,7 +356,7 @@ def _run(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def ctes() -> dict[str, str]:
-    return facts._FACTS | _WORLD | VIEWS | _MADE | TWINS
+    return facts._FACTS | {"inside": facts.TWINS["inside"]} | _WORLD | VIEWS | _MADE | TWINS
 
 
 #: The registered queries and their columns.
@@ -366,6 +386,8 @@ COLUMNS = {
     "s02_streamed_partials": "hour timestamp, start_date string, trip_id string, stop_id string, stop_sequence int, n_updates int, final_predicted_departure_utc timestamp, schedule_relationship string, last_update_at_utc timestamp, last_observed_at_utc timestamp",
     "s08c_streamed_sightings": "vehicle_id string, observed_at_utc timestamp, lat double, lon double",
     "s09_streamed_days": "route_id string, n bigint, last int, service_date date",
+    "w11_geojson_blocks": "stop_id string, mesh_block_code string, sa1_code string, sa2_code string, sa2_name string, sa3_code string, sa3_name string, sa4_code string, sa4_name string, gccsa_code string, gccsa_name string, boundary_tie boolean",
+    "w10b_sheet_text": "A string, B string, C string, D string",
 }
 
 register(COLUMNS, _run, ctes())
