@@ -3,6 +3,7 @@ import random
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from punctual.llm import graph
 from punctual.llm.graph import components
 
 
@@ -43,3 +44,23 @@ def test_any_graph(spark, edges):
 
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_many_edges_go_through_joins(spark, monkeypatch):
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(40)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(40)] + [(-(2**60), 2**60), (300, None)]
+    want = brute([e for e in edges if None not in e])
+    assert found(spark, edges) == want
+    monkeypatch.setattr(graph, "FEW", 0)
+    assert found(spark, edges) == want
+
+
+def test_few_edges_take_few_jobs(spark):
+    # A round of joins costs its jobs however few edges there are: with many shuffle partitions that took minutes.
+    edges, sc = [(i, i + 1) for i in range(200)], spark.sparkContext
+    sc.setJobGroup("few edges", "few edges")
+    try:
+        assert found(spark, edges) == brute(edges)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("few edges")) <= 8
